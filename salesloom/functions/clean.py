@@ -171,8 +171,8 @@ def to_ascii(c: Column) -> Column:
         return F.coalesce(F.try_element_at(expand, ch), ch)
 
     expanded = F.array_join(F.transform(F.split(c, ""), one), "")
-    has_longer = c.rlike("[" + "".join(a for a, _ in longer) + "]")
-    whole = F.when(has_longer, expanded).otherwise(c)
+    without_longer = F.translate(c, "".join(a for a, _ in longer), "")
+    whole = F.when(without_longer != c, expanded).otherwise(c)
     folded = F.translate(whole, "".join(a for a, _ in singles), "".join(b for _, b in singles))
     plain = F.regexp_replace(folded, r"[^\x00-\x7F]+", "")
     return F.when(c.rlike(r"[^\x00-\x7F]"), plain).otherwise(c)
