@@ -187,7 +187,8 @@ def snake_case(c: Column) -> Column:
 def title_case(c: Column) -> Column:
     """Capital after a blank or a delimiter, lower case elsewhere (``ana-maria`` too).
 
-    Spark's ``initcap`` starts words at blanks only, hence the split at every delimiter.
+    Spark's ``initcap`` starts words at blanks only. It serves the values without delimiters,
+    which most names are; the others are split at every delimiter.
     """
     marks = "".join("\\" + d for d in WORD_DELIMITERS) + r"\s"
     pieces = F.regexp_extract_all(F.lower(c), F.lit(f"[{marks}]+|[^{marks}]+"), F.lit(0))
@@ -195,4 +196,5 @@ def title_case(c: Column) -> Column:
     def capital(piece: Column) -> Column:
         return F.concat(F.upper(F.left(piece, F.lit(1))), F.substring(piece, 2, 2147483647))
 
-    return F.array_join(F.transform(pieces, capital), "")
+    split = F.array_join(F.transform(pieces, capital), "")
+    return F.when(c.rlike("^[A-Za-z0-9 ]*$"), F.initcap(c)).otherwise(split)

@@ -8,8 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NUMERIC = "decimal(38,9)"
-# Wide enough for any amount below 10^18, narrow enough that Spark keeps nine exact decimals.
-_AMOUNT = "decimal(27,9)"
+# Wide enough for any amount below 10^17, narrow enough that Spark keeps nine exact decimals.
+_AMOUNT = "decimal(26,9)"
 
 
 def month_of(c: Column) -> Column:
@@ -40,20 +40,17 @@ def weighted_value(value: Column, percent: Column) -> Column:
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
-    """Quotient of two amounts, rounded half away from zero to nine decimals.
+    """Amount over positive amount, rounded half away from zero to nine decimals.
 
-    Spark divides two decimal(38,9) to six decimals only. So whole part and remainder are
-    divided apart, both exactly.
+    Spark divides two decimal(38,9) to six decimals only. So the whole part is divided apart
+    from the remainder, and both integer divisions are exact.
     """
-    n = F.abs(numerator.cast(_AMOUNT))
-    d = F.abs(denominator.cast(_AMOUNT))
-    whole = F.call_function("div", n, d)
-    rest = (n % d).cast(_AMOUNT) * F.lit(Decimal(10**9))
-    billionths = F.call_function("div", rest, d)
-    half_up = F.when((rest % d).cast(_AMOUNT) * 2 >= d, 1).otherwise(0)
-    fraction = (billionths + half_up).cast("decimal(20,0)") * F.lit(Decimal("0.000000001"))
-    quotient = (whole.cast("decimal(20,0)") + fraction).cast(NUMERIC)
-    return F.when((numerator < 0) != (denominator < 0), -quotient).otherwise(quotient)
+    n, d = numerator.cast(_AMOUNT), denominator.cast(_AMOUNT)
+    whole = F.call_function("div", n, d).cast("decimal(20,0)")
+    rest = F.abs(n % d).cast(_AMOUNT) * F.lit(Decimal(2 * 10**9))
+    billionths = F.call_function("div", rest.cast("decimal(37,9)") + d, d + d)
+    unit = F.when(n < 0, F.lit(Decimal("-0.000000001"))).otherwise(F.lit(Decimal("0.000000001")))
+    return (whole + billionths.cast("decimal(10,0)") * unit).cast(NUMERIC)
 
 
 def ratio_or_zero(numerator: Column, denominator: Column) -> Column:

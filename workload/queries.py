@@ -66,6 +66,9 @@ def _moment(text: str) -> datetime:
 # -- tables the queries share ----------------------------------------------------------------
 
 
+# Silver tables are stored before a mart reads them, as the build does.
+
+
 def _sellers(spark, sf_dir, **options):
     return silver.seller_dim(standins.crm_deals(spark, sf_dir), **options)
 
@@ -84,6 +87,10 @@ def _goals(spark, sf_dir):
     return bronze.stg_metas_vendedores(standins.metas_vendedores(spark, sf_dir))
 
 
+def _goal_fact(spark, sf_dir):
+    return stage(silver.goal_fact(_goals(spark, sf_dir)), "goals")
+
+
 def _costs(spark, sf_dir):
     return bronze.stg_custos_aquisicao(standins.custos_aquisicao(spark, sf_dir))
 
@@ -101,14 +108,14 @@ def _sales(spark, sf_dir, sellers, **options):
 def goals_vs_actuals(spark, sf_dir):
     sellers = stage(_sellers(spark, sf_dir), "sellers")
     sales = _sales(spark, sf_dir, sellers)
-    return gold.goals_vs_actuals(sales, silver.goal_fact(_goals(spark, sf_dir)), sellers)
+    return gold.goals_vs_actuals(sales, _goal_fact(spark, sf_dir), sellers)
 
 
 @query
 def goals_vs_actuals_by_clean_name(spark, sf_dir):
     sellers = stage(_sellers(spark, sf_dir), "sellers")
     sales = _sales(spark, sf_dir, sellers)
-    goals = silver.goal_fact(_goals(spark, sf_dir))
+    goals = _goal_fact(spark, sf_dir)
     return gold.goals_vs_actuals(sales, goals, sellers, normalize_names=True)
 
 
