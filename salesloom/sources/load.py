@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,13 +58,16 @@ def sheet_sources(folder: str) -> list[GridSource]:
     ]
 
 
-def _missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
+# An aborted job surfaces as the Java error itself.
+SPARK_ERRORS = (PySparkException, Py4JJavaError)
 
 
-def _malformed(error: PySparkException) -> bool:
-    text = f"{error.getCondition()} {error}"
-    return "MALFORMED_RECORD" in text or "FAILED_READ_FILE" in text
+def _missing(error: Exception) -> bool:
+    return isinstance(error, AnalysisException) and error.getCondition() == "PATH_NOT_FOUND"
+
+
+def _malformed(error: Exception) -> bool:
+    return "MALFORMED_RECORD" in str(error)
 
 
 def load_api(spark: SparkSession, source: ApiSource, raw_root: str, run_time: datetime) -> tuple:
@@ -78,8 +82,8 @@ def load_api(spark: SparkSession, source: ApiSource, raw_root: str, run_time: da
             return (source.path, source.table, "skipped", None, "no records")
         stamped = stamp(records, run_time)
         landed = land(stamped, raw_root, source.entity, run_time.date())
-    except PySparkException as error:
-        if isinstance(error, AnalysisException) and _missing(error):
+    except SPARK_ERRORS as error:
+        if _missing(error):
             return (source.path, source.table, "skipped", None, "not found")
         if _malformed(error):
             return (source.path, source.table, "skipped", None, "malformed JSON")
@@ -100,11 +104,9 @@ def load_tab(
         grid = drop_blank_rows(read_grid(spark, path, multi_line=multi_line))
         if grid.isEmpty():
             return (sheet, table, "skipped", None, "no rows")
-    except AnalysisException as error:
+    except SPARK_ERRORS as error:
         status = "error" if _missing(error) else "skipped"
         return (sheet, table, status, None, str(error))
-    except PySparkException as error:
-        return (sheet, table, "skipped", None, str(error))
     try:
         texts = stringify_all(rename_columns(stamp(grid, run_time, sheet)))
         return (sheet, table, "success", replace_table(texts, STAGING, table), None)
