@@ -120,6 +120,11 @@ def _folds(form: str) -> tuple[tuple[str, str], ...]:
     return tuple(pairs)
 
 
+def _is_ascii(c: Column) -> Column:
+    """One byte per character: cheaper than a regular expression."""
+    return F.octet_length(c) == F.char_length(c)
+
+
 def _hangul_to_jamo(c: Column) -> Column:
     """Canonical decomposition of Hangul syllables; runs only on values that hold one."""
     leads = "".join(map(chr, range(0x1100, 0x1100 + 19)))
@@ -150,7 +155,7 @@ def strip_accents(c: Column) -> Column:
     folded = F.translate(c, "".join(a for a, _ in singles), "".join(b for _, b in singles))
     folded = F.regexp_replace(folded, r"\p{M}+", "")
     plain = F.when(folded.rlike("[가-힣]"), _hangul_to_jamo(folded)).otherwise(folded)
-    return F.when(c.rlike(r"[^\x00-\x7F]"), plain).otherwise(c)
+    return F.when(_is_ascii(c), c).otherwise(plain)
 
 
 def to_ascii(c: Column) -> Column:
@@ -175,7 +180,7 @@ def to_ascii(c: Column) -> Column:
     whole = F.when(without_longer != c, expanded).otherwise(c)
     folded = F.translate(whole, "".join(a for a, _ in singles), "".join(b for _, b in singles))
     plain = F.regexp_replace(folded, r"[^\x00-\x7F]+", "")
-    return F.when(c.rlike(r"[^\x00-\x7F]"), plain).otherwise(c)
+    return F.when(_is_ascii(c), c).otherwise(plain)
 
 
 def snake_case(c: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 NUMERIC = "decimal(38,9)"
 # Wide enough for any amount below 10^17, narrow enough that Spark keeps nine exact decimals.
 _AMOUNT = "decimal(26,9)"
+_NINTH = Decimal("0.000000001")
 
 
 def month_of(c: Column) -> Column:
@@ -42,14 +43,23 @@ def weighted_value(value: Column, percent: Column) -> Column:
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Amount over positive amount, rounded half away from zero to nine decimals.
 
-    Spark divides two decimal(38,9) to six decimals only. So the whole part is divided apart
-    from the remainder, and both integer divisions are exact.
+    Spark divides two decimal(38,9) to six decimals only. A double has the right ninth decimal
+    unless the quotient is large or next to a half; only then it is divided exactly.
     """
+    billionths = numerator.cast("double") / denominator.cast("double") * 1e9
+    beside_half = F.abs(F.abs(billionths - F.floor(billionths)) - 0.5)
+    certain = (F.abs(billionths) < 1e12) & (beside_half > 0.001)
+    rounded = F.floor(billionths + 0.5).cast("decimal(20,0)") * F.lit(_NINTH)
+    return F.when(certain, rounded.cast(NUMERIC)).otherwise(_long_ratio(numerator, denominator))
+
+
+def _long_ratio(numerator: Column, denominator: Column) -> Column:
+    """The same by exact integer divisions, the whole part apart from the remainder."""
     n, d = numerator.cast(_AMOUNT), denominator.cast(_AMOUNT)
     whole = F.call_function("div", n, d).cast("decimal(20,0)")
     rest = F.abs(n % d).cast(_AMOUNT) * F.lit(Decimal(2 * 10**9))
     billionths = F.call_function("div", rest.cast("decimal(37,9)") + d, d + d)
-    unit = F.when(n < 0, F.lit(Decimal("-0.000000001"))).otherwise(F.lit(Decimal("0.000000001")))
+    unit = F.when(n < 0, F.lit(-_NINTH)).otherwise(F.lit(_NINTH))
     return (whole + billionths.cast("decimal(10,0)") * unit).cast(NUMERIC)
 
 

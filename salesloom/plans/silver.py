@@ -83,10 +83,12 @@ def seller_dim(
 def goal_fact(goals: DataFrame) -> DataFrame:
     """The best goal per seller and month: highest value, then commission, then deals.
 
-    The month comes first in the sort: dates compare faster than names with a common start.
+    The sort is kept cheap. The month goes before the name, as dates compare faster than names
+    with a common start; and the value is compared as a double, exactly only where those tie.
     """
     columns = ["nome_vendedor", "mes_referencia", "meta_valor", "meta_qtd_deals", "comissao_pct"]
-    best = [F.col(c).desc() for c in ("meta_valor", "comissao_pct", "meta_qtd_deals")]
+    best = [F.col("meta_valor").cast("double").desc()]
+    best += [F.col(c).desc() for c in ("meta_valor", "comissao_pct", "meta_qtd_deals")]
     return keys.dedup_first(goals.select(*columns), ["mes_referencia", "nome_vendedor"], best)
 
 

@@ -33,10 +33,8 @@ def plain(df: DataFrame) -> DataFrame:
         c = F.col(field.name)
         if isinstance(field.dataType, T.DecimalType):
             c = c.cast("double")
-        elif isinstance(field.dataType, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
-        elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        elif isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            c = c.cast("string")
         elif isinstance(field.dataType, T.ArrayType):
             c = F.array_join(c, "|")
         return c.alias(field.name)

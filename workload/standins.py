@@ -48,10 +48,9 @@ def crm_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     stage_id = F.left("o_orderpriority", F.lit(1)).cast("bigint")
     status = F.col("o_orderstatus")
-    hour = F.make_interval(hours=(F.col("o_orderkey") % 24).cast("int"))
-    added = F.col("o_orderdate") + hour
-    closing = F.make_interval(hours=(F.floor("o_totalprice") % 2003).cast("int"))
-    closed = added + closing
+    ordered = F.col("o_orderdate").cast("timestamp")
+    added = F.timestamp_add("HOUR", F.col("o_orderkey") % 24, ordered)
+    closed = F.timestamp_add("HOUR", F.floor("o_totalprice") % 2003, added)
     return rows.select(
         F.concat(F.lit("deal_"), "o_orderkey").alias("id"),
         F.concat(F.lit("Pedido "), "o_orderkey").alias("title"),
@@ -74,10 +73,10 @@ def crm_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("org_name"),
         F.when(status == "F", "won").when(status == "P", "lost").otherwise("open").alias("status"),
         F.date_add(F.to_date("o_orderdate"), 30).alias("expected_close_date"),
-        added.cast("timestamp").alias("add_time"),
-        added.cast("timestamp").alias("update_time"),
-        F.when(status == "F", closed).cast("timestamp").alias("won_time"),
-        F.when(status == "P", closed).cast("timestamp").alias("lost_time"),
+        added.alias("add_time"),
+        added.alias("update_time"),
+        F.when(status == "F", closed).alias("won_time"),
+        F.when(status == "P", closed).alias("lost_time"),
         F.struct(
             F.array("o_orderpriority", "c_mktsegment").alias("produtos"),
             _segment_channel().alias("origem_lead"),
@@ -161,15 +160,17 @@ def crm_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dirty_date(c: Column) -> Column:
     """A date in the formats that people type, by the line's flags; some are no dates."""
-    day = F.concat("l_returnflag", "l_linestatus")
+    flags = F.concat("l_returnflag", "l_linestatus")
+    iso = c.cast("date").cast("string")
+    year, month, day = F.left(iso, F.lit(4)), F.substring(iso, 6, 2), F.right(iso, F.lit(2))
     return (
         F.when(F.col("l_tax") == 0, "n/d")
-        .when(day == "AF", F.date_format(c, "dd/MM/yyyy"))
-        .when(day == "AO", F.date_format(c, "yyyy-MM-dd"))
-        .when(day == "NF", F.date_format(c, "d-M-yyyy"))
-        .when(day == "NO", F.date_format(c, "yyyy/MM/dd"))
-        .when(day == "RF", F.concat(F.lit("  "), F.date_format(c, "dd/MM/yyyy"), F.lit(" ")))
-        .otherwise(F.date_format(c, "yyyy-M-d"))
+        .when(flags == "AF", F.concat_ws("/", day, month, year))
+        .when(flags == "AO", iso)
+        .when(flags == "NF", F.concat_ws("-", F.day(c), F.month(c), year))
+        .when(flags == "NO", F.translate(iso, "-", "/"))
+        .when(flags == "RF", F.concat(F.lit("  "), F.concat_ws("/", day, month, year), F.lit(" ")))
+        .otherwise(F.concat_ws("-", year, F.month(c), F.day(c)))
     )
 
 
