@@ -32,3 +32,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/staged/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out to all cores if they come in fewer partitions than there are cores.
+
+    Few files that cannot be split, such as whole JSON documents, would keep the work that
+    follows in few tasks. Input that is large enough to fill the cluster is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from salesloom.functions.clean import missing_to_null
 from salesloom.functions.names import header_names, table_name
+from salesloom.operators.staging import spread
 
 # The members of an API response besides its records.
 ENVELOPE_MEMBERS = ("success", "additional_data")
@@ -54,7 +55,8 @@ def read_api_envelope(
         ]
     )
     rows = F.when(envelope, F.col(records)).otherwise(F.array(bare))
-    return documents.select(F.explode(rows).alias("_record")).select("_record.*")
+    found = documents.select(F.explode(rows).alias("_record")).select("_record.*")
+    return found if lines else spread(found)
 
 
 def _document(record: T.StructType, records: str) -> T.StructType:
@@ -84,7 +86,8 @@ def read_grid(spark: SparkSession, path: str, sep: str = ",", multi_line: bool =
     layout = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(first))])
     cells = reader.option("header", True).option("enforceSchema", True).schema(layout).csv(path)
     texts = [F.when(F.col(c) != "", F.col(c)).alias(c) for c in cells.columns]
-    return cells.select(*texts).toDF(*header_names(first))
+    grid = cells.select(*texts).toDF(*header_names(first))
+    return spread(grid) if multi_line else grid
 
 
 def stringify_all(df: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from salesloom.sources import schemas
 from salesloom.sources.readers import read_api_envelope, read_grid, stamp, stringify_all
 from salesloom.sources.tables import land
 from workload import standins
-from workload.standins import cents, table
+from workload.standins import cents, rows_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -277,7 +277,7 @@ def _cycle_days(spark, sf_dir, mode):
 
 @query
 def ratio_measures(spark, sf_dir):
-    line = table(spark, sf_dir, "lineitem")
+    line = rows_of(spark, sf_dir, "lineitem")
     price, quantity = cents("l_extendedprice"), F.col("l_quantity").cast("bigint")
     tax = cents("l_tax")
     return line.select(
@@ -326,7 +326,7 @@ def duplicate_keys(spark, sf_dir):
 
 @query
 def parse_dates(spark, sf_dir):
-    line = table(spark, sf_dir, "lineitem")
+    line = rows_of(spark, sf_dir, "lineitem")
     raw = standins.dirty_date(F.col("l_shipdate"))
     return line.select(
         "l_orderkey", "l_linenumber", raw.alias("raw"), clean.parse_date_multi(raw).alias("day")
@@ -351,7 +351,7 @@ def parse_percent(spark, sf_dir):
 
 @query
 def percent_digits(spark, sf_dir):
-    line = table(spark, sf_dir, "lineitem")
+    line = rows_of(spark, sf_dir, "lineitem")
     raw = F.concat(F.round(F.col("l_discount") * 100).cast("int"), F.lit(",5%"))
     whole = F.concat(F.col("l_quantity").cast("int"), F.lit("%"))
     return line.select(
@@ -380,7 +380,7 @@ def canonical_label(spark, sf_dir):
 
 @query
 def safe_cast(spark, sf_dir):
-    line = table(spark, sf_dir, "lineitem")
+    line = rows_of(spark, sf_dir, "lineitem")
     price = cents("l_extendedprice").cast("string")
     number = F.when(F.col("l_returnflag") == "A", F.concat(F.lit("R$ "), price)).otherwise(price)
     whole = F.col("l_quantity").cast("bigint").cast("string")
@@ -399,28 +399,28 @@ def safe_cast(spark, sf_dir):
 
 @query
 def strip_accents(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return rows_of(spark, sf_dir, "documents").select(
         "doc_id", clean.strip_accents(F.col("text")).alias("text")
     )
 
 
 @query
 def title_case(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return rows_of(spark, sf_dir, "documents").select(
         "doc_id", clean.title_case(F.col("text")).alias("text")
     )
 
 
 @query
 def to_ascii(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return rows_of(spark, sf_dir, "documents").select(
         "doc_id", clean.to_ascii(F.col("text")).alias("text")
     )
 
 
 @query
 def snake_case(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return rows_of(spark, sf_dir, "documents").select(
         "doc_id", clean.snake_case(F.col("text")).alias("text")
     )
 

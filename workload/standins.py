@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesloom.operators.staging import spread
+
 AS_OF = "2002-01-01 12:00:00"
 LOADED_AT = "2002-01-01 06:00:00"
 DAY_ONE, DAY_TWO = "2002-01-02 00:00:00", "2002-01-03 00:00:00"
@@ -19,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def rows_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows take much work each; a file of one row group cannot be split."""
+    return spread(table(spark, sf_dir, name))
+
+
 def cents(c: str) -> Column:
     return F.col(c).cast("decimal(18,2)")
 
@@ -40,7 +47,7 @@ def _seller_name() -> Column:
 
 
 def crm_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
+    orders = rows_of(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer")
     nations = table(spark, sf_dir, "nation")
     rows = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
@@ -138,7 +145,7 @@ def crm_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     done = kind.isin("purchase", "signup")
     user = F.col("user_id")
-    return table(spark, sf_dir, "events").select(
+    return rows_of(spark, sf_dir, "events").select(
         F.concat(F.lit("activity_"), "event_id").alias("id"),
         F.when(kind == "error", "none").otherwise(F.concat(F.lit("deal_"), user)).alias("deal_id"),
         user.alias("person_id"),
@@ -161,22 +168,20 @@ def crm_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dirty_date(c: Column) -> Column:
     """A date in the formats that people type, by the line's flags; some are no dates."""
     flags = F.concat("l_returnflag", "l_linestatus")
-    iso = c.cast("date").cast("string")
-    year, month, day = F.left(iso, F.lit(4)), F.substring(iso, 6, 2), F.right(iso, F.lit(2))
     return (
         F.when(F.col("l_tax") == 0, "n/d")
-        .when(flags == "AF", F.concat_ws("/", day, month, year))
-        .when(flags == "AO", iso)
-        .when(flags == "NF", F.concat_ws("-", F.day(c), F.month(c), year))
-        .when(flags == "NO", F.translate(iso, "-", "/"))
-        .when(flags == "RF", F.concat(F.lit("  "), F.concat_ws("/", day, month, year), F.lit(" ")))
-        .otherwise(F.concat_ws("-", year, F.month(c), F.day(c)))
+        .when(flags == "AF", F.date_format(c, "dd/MM/yyyy"))
+        .when(flags == "AO", F.date_format(c, "yyyy-MM-dd"))
+        .when(flags == "NF", F.date_format(c, "d-M-yyyy"))
+        .when(flags == "NO", F.date_format(c, "yyyy/MM/dd"))
+        .when(flags == "RF", F.date_format(c, "'  'dd/MM/yyyy' '"))
+        .otherwise(F.date_format(c, "yyyy-M-d"))
     )
 
 
 def metas_vendedores(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = (
-        table(spark, sf_dir, "lineitem")
+        rows_of(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     )
@@ -196,7 +201,7 @@ def metas_vendedores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def custos_aquisicao(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = (
-        table(spark, sf_dir, "lineitem")
+        rows_of(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     )
