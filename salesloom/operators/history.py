@@ -8,9 +8,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from salesloom.operators.keys import assert_unique
+from salesloom.operators.staging import stage
 
 OPEN = "open"
 RUN_COLUMN = "closed_run"
@@ -50,64 +50,68 @@ def scd2_merge(
     key: str,
     checked: Sequence[str],
     run_time: datetime,
-    validate: bool = True,
 ) -> DataFrame:
     """History after one more load of the source.
 
     A record whose checked columns differ (NULL counts as a value) closes its open version and
     opens a new one. Records missing from the source stay open. Changes in other columns alone
     make no version. A source row without a key matches nothing, so it opens a version each
-    time. ``validate`` refuses a source in which a key repeats.
+    time. A source in which a key repeats is refused.
 
-    Only open versions enter the join, and each key holds one there. Rows without a key go
-    around it: they would all meet in one partition of a full join. Old and new version come
-    out of one pass as an array of up to two rows.
+    Whole rows are not shuffled to be compared. Keys and checked columns find the keys that
+    moved, and those are stored. Most loads move few keys, so joining them to the whole rows of
+    both sides is a broadcast by their real size; if many moved, Spark sorts instead.
     """
-    if validate:
-        assert_unique(source.where(F.col(key).isNotNull()), [key])
-    now = _timestamp(run_time)
+    is_open = F.col("valid_to").isNull() & F.col(key).isNotNull()
+    keyed = source.where(F.col(key).isNotNull())
+    moved = stage(_moved_keys(history.where(is_open), keyed, key, checked), "moved-keys")
+    repeated = moved.where("_copies > 1").take(3)
+    if repeated:
+        raise ValueError(f"repeated {key}: {[row[key] for row in repeated]}")
+
     tracked = [c for c in history.columns if c not in HOUSEKEEPING]
     added = [c for c in source.columns if c not in tracked]
-    data = [*tracked, *added]
-
-    fresh = source.select(
-        *[F.col(c) if c in source.columns else F.lit(None).alias(c) for c in data]
+    types = {f.name: f.dataType for f in (*source.schema, *history.schema)}
+
+    def data(df: DataFrame) -> list[Column]:
+        return [
+            (F.col(c) if c in df.columns else F.lit(None)).cast(types[c]).alias(c)
+            for c in (*tracked, *added)
+        ]
+
+    # One scan of each side. Rows that are closed or have no key pass through the left joins.
+    old = history.select(*data(history), *HOUSEKEEPING)
+    closing = moved.where("_known").select(F.col(key).alias("_closing"))
+    closes = F.col("_closing").isNotNull()
+    kept = old.join(closing, (old[key] == closing["_closing"]) & is_open, "left").select(
+        *[c for c in old.columns if c != "valid_to"],
+        F.when(closes, _timestamp(run_time)).otherwise(F.col("valid_to")).alias("valid_to"),
     )
-    old = history.select(
-        *tracked, *[F.lit(None).cast(source.schema[c].dataType).alias(c) for c in added],
-        *HOUSEKEEPING,
+    opening = moved.select(F.col(key).alias("_opening"))
+    started = source.join(opening, source[key] == opening["_opening"], "left").where(
+        F.col("_opening").isNotNull() | F.col(key).isNull()
     )
-    is_open = F.col("valid_to").isNull()
-    has_key = F.col(key).isNotNull()
+    return kept.unionByName(started.select(*_opened(data(source), F.col(key), run_time)))
 
-    current = old.where(is_open & has_key).select(F.col(key), F.struct("*").alias("_old"))
-    incoming = fresh.where(has_key).select(F.col(key), F.struct("*").alias("_new"))
-    pairs = current.join(incoming, key, "full_outer")
 
+def _moved_keys(
+    opened: DataFrame, source: DataFrame, key: str, checked: Sequence[str]
+) -> DataFrame:
+    """Keys that need a new version or repeat: whether they have an open one, and their copies."""
+    before = opened.select(key, F.struct(*checked).alias("_before"))
+    after = source.groupBy(key).agg(
+        F.first(F.struct(*checked)).alias("_after"), F.count(F.lit(1)).alias("_copies")
+    )
     differs = reduce(
-        lambda a, b: a | b, [~F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in checked]
+        lambda a, b: a | b,
+        [~F.col(f"_before.{c}").eqNullSafe(F.col(f"_after.{c}")) for c in checked],
+    )
+    known = F.col("_before").isNotNull()
+    return (
+        after.join(before, key, "left")
+        .where(~known | differs | (F.col("_copies") > 1))
+        .select(key, known.alias("_known"), "_copies")
     )
-    known, present = F.col("_old").isNotNull(), F.col("_new").isNotNull()
-    changed = known & present & differs
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in old.schema])
-    kept = F.struct(
-        *[F.col(f"_old.{c}").alias(c) for c in (*data, *HOUSEKEEPING[:-1])],
-        F.when(changed, now).otherwise(F.col("_old.valid_to")).alias("valid_to"),
-    ).cast(schema)
-    opened = F.struct(
-        *_opened([F.col(f"_new.{c}").alias(c) for c in data], F.col(f"_new.{key}"), run_time)
-    ).cast(schema)
-    versions = pairs.select(
-        F.explode(
-            F.when(~known, F.array(opened))
-            .when(changed, F.array(kept, opened))
-            .otherwise(F.array(kept))
-        ).alias("_version")
-    ).select("_version.*")
-
-    untouched = old.where(~(is_open & has_key))
-    keyless = fresh.where(~has_key).select(*_opened([F.col(c) for c in data], F.col(key), run_time))
-    return untouched.unionByName(versions).unionByName(keyless)
 
 
 def scd2_current(history: DataFrame) -> DataFrame:

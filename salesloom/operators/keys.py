@@ -69,10 +69,10 @@ def surrogate_key(
 def orphans(fact: DataFrame, key: str, dimension: DataFrame, dimension_key: str) -> DataFrame:
     """Fact keys that the dimension lacks, with their row counts. NULL keys refer to nothing.
 
-    Counting first shrinks the fact to one row per key before the join.
+    Both sides shrink to one row per key before the join.
     """
     counted = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    known = dimension.select(F.col(dimension_key).alias(key))
+    known = dimension.select(F.col(dimension_key).alias(key)).distinct()
     return counted.join(known, key, "left_anti")
 
 

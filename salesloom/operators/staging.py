@@ -35,10 +35,10 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores if they come in fewer partitions than there are cores.
+    """Deal rows out to all cores if they come in far fewer partitions than there are cores.
 
     Few files that cannot be split, such as whole JSON documents, would keep the work that
-    follows in few tasks. Input that is large enough to fill the cluster is left as it is.
+    follows in few tasks. Larger input is left as it is: there the shuffle would not pay.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
