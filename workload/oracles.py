@@ -150,7 +150,8 @@ _CTE = {
     "sales": """
         select d.*, s.sk_vendedor, c.organizacao_id as fk_organizacao,
             coalesce(data_ganho, data_perda, AS_OF) as fim,
-            cast(valor_estimado as double) * probabilidade_pct / 100 as ponderado
+            cast(cast(valor_estimado * 100 as bigint) * probabilidade_pct as double) / 10000
+                as ponderado
         from deals d left join sellers s on d.vendedor_id = s.vendedor_id
         left join companies c on d.organizacao_id = c.organizacao_id""".replace("AS_OF", AS_OF),
     "day_one": f"""
@@ -442,7 +443,7 @@ ORACLES: dict[str, str] = {
         select l_orderkey, l_linenumber, cast(p as double) as price,
             case when q > 0 then {quotient("p", "q")} else 0 end as per_unit,
             case when t > 0 then {quotient("(t - d)", "t")} else 0 end as margin,
-            cast(p * q as double) / 100 as weighted,
+            cast(cast(p * 100 as bigint) * cast(q as bigint) as double) / 10000 as weighted,
             {day("date_trunc('month', l_shipdate)")} as month
         from (select l_orderkey, l_linenumber, l_shipdate,
             cast(l_extendedprice as decimal(18,2)) as p,
