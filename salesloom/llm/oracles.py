@@ -72,4 +72,25 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM digests WINDOW w AS (PARTITION BY text_sha256)
 """
 
-ORACLES = {"op2_mix_sources": MIX, "op8_exact_dedup": EXACT}
+LINES = r"""
+WITH lines AS (
+  SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line,
+    unnest(range(len(string_split(text, chr(10))))) AS pos
+  FROM documents WHERE text IS NOT NULL),
+keyed AS (
+  SELECT *, trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')) AS plain FROM lines),
+counted AS (SELECT * FROM keyed WHERE len(string_split(plain, ' ')) >= 3),
+common AS (
+  SELECT plain, min(struct_pack(a := doc_id, b := pos)) AS first FROM counted
+  GROUP BY plain HAVING count(DISTINCT coalesce('=' || source, '~')) >= 3),
+gone AS (
+  SELECT doc_id, pos FROM counted JOIN common USING (plain) WHERE struct_pack(a := doc_id, b := pos) <> first),
+kept AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text FROM lines ANTI JOIN gone USING (doc_id, pos)
+  GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+  (SELECT count(*) FROM gone g WHERE g.doc_id = d.doc_id)::INTEGER AS lines_removed
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+ORACLES = {"op1_line_dedup": LINES, "op2_mix_sources": MIX, "op8_exact_dedup": EXACT}

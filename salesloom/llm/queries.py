@@ -4,14 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salesloom.llm import exact_dedup, mixing
+from salesloom.llm import exact_dedup, line_dedup, mixing, packing, toxicity, url_filter
 from salesloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Fixed rules of the URL query: (host, path, verdict).
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.remove_boilerplate(read(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "text", "lines_removed")
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    url = F.col("url")
+    urls = read(spark, sf_dir, "pages").select(
+        "page_id", url_filter.host_of(url).alias("host"), url_filter.path_of(url).alias("path")
+    )
+    return url_filter.judge(urls, URL_RULES, url_filter.rule_labels(urls, URL_RULES))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.tag(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted"),
+        "n_toxic",
+        "spans",
+    )
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -21,7 +57,24 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(read(spark, sf_dir, "documents"), exact_dedup.new_index_path(spark))
 
 
+def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id",
+        "start",
+        F.expr("CAST(octet_length(ids) div 4 AS BIGINT)").alias("length"),
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_mix_sources": op2_mix_sources,
+    "op3_url_filter": op3_url_filter,
+    "op4_toxicity": op4_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_pack": op10_pack,
 }
