@@ -93,4 +93,71 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') EN
 FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
 
-ORACLES = {"op1_line_dedup": LINES, "op2_mix_sources": MIX, "op8_exact_dedup": EXACT}
+IMATCH = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    row_number() OVER (ORDER BY doc_id NULLS FIRST, coalesce(text, '')) AS place, count(*) OVER () AS n_docs
+  FROM documents),
+edits AS (
+  SELECT d.doc_id, d.place, d.n_docs, d.text, length(d.text)::BIGINT AS n_chars,
+    substr(d.text, 1, length(d.text) - length(d.text) // 4) || substr(e.text, 1, length(d.text) // 4) AS edited
+  FROM docs d JOIN docs e ON e.place = d.place % d.n_docs + 1),
+words AS (
+  SELECT DISTINCT place, n_docs, kind,
+    translate(unnest(regexp_extract_all(body, '[^ 	-
+]+')),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM (SELECT place, n_docs, 0 AS kind, text AS body FROM edits
+    UNION ALL SELECT place, n_docs, 1, edited FROM edits)),
+lexicon AS (
+  SELECT term, ('0x' || substr(md5(term), 1, 8))::BIGINT AS draw FROM words WHERE kind = 0
+  GROUP BY term, n_docs HAVING count(*) >= n_docs / 512.0 AND count(*) <= n_docs / 16.0 AND count(*) > 1),
+known AS (SELECT place, kind, term, draw FROM words JOIN lexicon USING (term)),
+levels AS (
+  SELECT place, kind, floor(log2(count(*)))::INTEGER AS base FROM known GROUP BY ALL),
+wanted AS (
+  SELECT place, kind, base, base + step AS level, unnest(range(0, least(32, 1 << (base + step)))) AS cell
+  FROM levels, (VALUES (0), (1)) s(step)),
+cells AS (
+  SELECT place, kind, level, draw % (1::BIGINT << level) AS cell,
+    substr(md5(string_agg(term, ' ' ORDER BY term)), 1, 6) AS hash
+  FROM known JOIN (SELECT DISTINCT place, kind, level FROM wanted) USING (place, kind)
+  WHERE draw % (1::BIGINT << level) < 32 GROUP BY ALL),
+prints AS (
+  SELECT place, kind, level, any_value(base) AS base, list(coalesce(hash, '') ORDER BY cell) AS hashes
+  FROM wanted LEFT JOIN cells USING (place, kind, level, cell) GROUP BY place, kind, level),
+both_levels AS (
+  SELECT a.place, a.kind, a.base, a.hashes AS coarse, b.hashes AS fine
+  FROM prints a JOIN prints b ON a.place = b.place AND a.kind = b.kind AND a.level = a.base AND b.level = b.base + 1),
+whole AS (
+  SELECT e.place, k.kind, base, coarse, fine, md5(CASE k.kind WHEN 0 THEN e.text ELSE e.edited END) AS whole
+  FROM edits e CROSS JOIN (VALUES (0), (1)) k(kind) LEFT JOIN both_levels b ON b.place = e.place AND b.kind = k.kind),
+named AS (
+  SELECT *, CASE WHEN base IS NULL THEN '-:' || whole
+    ELSE base || ':' || array_to_string(coarse, ',') || ':' || array_to_string(fine, ',') END AS name FROM whole),
+meetings AS (
+  SELECT e.place, 'edited' AS what, a AS a, b AS b FROM edits e
+    JOIN named a ON a.place = e.place AND a.kind = 0 JOIN named b ON b.place = e.place AND b.kind = 1
+  UNION ALL SELECT e.place, 'next', a, b FROM edits e
+    JOIN named a ON a.place = e.place AND a.kind = 0 JOIN named b ON b.place = e.place % e.n_docs + 1 AND b.kind = 0),
+aligned AS (
+  SELECT place, what, a.base AS p, b.base AS q, a.whole = b.whole AS same,
+    CASE WHEN a.base < b.base THEN a.fine ELSE a.coarse END AS x,
+    CASE WHEN a.base > b.base THEN b.fine ELSE b.coarse END AS y FROM meetings),
+counted AS (
+  SELECT *, len(x)::DOUBLE AS n,
+    len([i FOR i IN range(1, len(x) + 1) IF x[i] = y[i]]) / len(x)::DOUBLE AS equal,
+    greatest(len([i FOR i IN range(1, len(x) + 1) IF x[i] = '' AND y[i] = '']) / len(x)::DOUBLE,
+      0.5::DOUBLE / len(x)) AS empty
+  FROM aligned),
+near AS (
+  SELECT place, what, round(CASE WHEN p IS NULL OR q IS NULL THEN same::INTEGER::DOUBLE
+    WHEN abs(p - q) > 1 THEN 0.0 WHEN equal = 1 THEN 1.0 WHEN equal <= empty THEN 0.0
+    ELSE 1 - ln(equal) / ln(empty) END, 6)::DOUBLE AS likeness FROM counted)
+SELECT e.doc_id, e.n_chars, sha256(e.edited) AS edited_sha256, a.name AS fingerprint, b.name AS edited_fingerprint,
+  u.likeness AS near_edited, v.likeness AS near_next
+FROM edits e JOIN named a ON a.place = e.place AND a.kind = 0 JOIN named b ON b.place = e.place AND b.kind = 1
+  JOIN near u ON u.place = e.place AND u.what = 'edited' JOIN near v ON v.place = e.place AND v.what = 'next'
+"""
+
+ORACLES = {"op1_line_dedup": LINES, "op5_imatch": IMATCH, "op2_mix_sources": MIX, "op8_exact_dedup": EXACT}

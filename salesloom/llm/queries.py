@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import exact_dedup, line_dedup, mixing, near_dedup, packing, toxicity, url_filter
+from salesloom.llm import exact_dedup, imatch, line_dedup, mixing, near_dedup, packing, toxicity, url_filter
 from salesloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.dedup(read(spark, sf_dir, "documents"))
 
@@ -79,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_url_filter": op3_url_filter,
     "op4_toxicity": op4_toxicity,
+    "op5_imatch": op5_imatch,
     "op7_near_dedup": op7_near_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_pack": op10_pack,
