@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
-import numpy as np
 from tokenizers import Tokenizer
 
 _WORDS = re.compile(r"[^ \t-\r]+").findall
@@ -28,6 +30,8 @@ class WordIds:
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
+        # Spark runs a task per core; threads of its own would only get in each other's way
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.remembered = remembered
         self.ids: dict[str, bytes] = {}
@@ -45,23 +49,31 @@ class WordIds:
 
     def _learn(self, words: set[str]) -> None:
         """Encode ``words``; those that differ in case or a last stop only share their stem's ids."""
-        stems, shared = {}, {}
+        ids = self.ids
+        if "." not in ids:
+            self._encode([".", ","])
+        shared = []
         for word in words:
-            stem, tail = word, ""
             if word.isascii() and "<" not in word:
-                stem = word.lower()
-                if len(word) > 1 and word[-1] in ".," and word[-2].isalpha():
-                    stem, tail = stem[:-1], word[-1]
-            if stem != word:
-                shared[word] = stem, tail
-                if tail and tail not in self.ids:
-                    stems[tail] = None
-            if stem not in self.ids:
-                stems[stem] = None
-        todo = list(stems)
-        for at in range(0, len(todo), 4096):
-            some = todo[at : at + 4096]
+                stem, tail = word.lower(), ""
+                if stem[-1] in ".," and len(stem) > 1 and stem[-2].isalpha():
+                    stem, tail = stem[:-1], stem[-1]
+                if stem != word:
+                    shared.append((word, stem, tail))
+        own = words.difference([s[0] for s in shared]).union([s[1] for s in shared])
+        self._encode(list(own.difference(ids)))
+        ids.update((word, ids[stem] + ids[tail] if tail else ids[stem]) for word, stem, tail in shared)
+
+    def _encode(self, words: list[str]) -> None:
+        for at in range(0, len(words), 4096):
+            some = words[at : at + 4096]
             encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            self.ids.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, encoded))
-        for word, (stem, tail) in shared.items():
-            self.ids[word] = self.ids[stem] + (self.ids[tail] if tail else b"")
+            self.ids.update((w, _little(e.ids)) for w, e in zip(some, encoded))
+
+
+def _little(ids: list[int]) -> bytes:
+    """Unsigned 32-bit integers, little-endian."""
+    packed = array("I", ids)
+    if sys.byteorder != "little":
+        packed.byteswap()
+    return packed.tobytes()
