@@ -160,4 +160,21 @@ FROM edits e JOIN named a ON a.place = e.place AND a.kind = 0 JOIN named b ON b.
   JOIN near u ON u.place = e.place AND u.what = 'edited' JOIN near v ON v.place = e.place AND v.what = 'next'
 """
 
-ORACLES = {"op1_line_dedup": LINES, "op5_imatch": IMATCH, "op2_mix_sources": MIX, "op8_exact_dedup": EXACT}
+#: What reading back must give; the lengths follow from the template and its escapes.
+CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+sized AS (
+  SELECT *, length(replace(replace(text, '\', '\\'), '<', '\<'))
+    + length(replace(replace(replace(role, '\', '\\'), '<', '\<'), chr(10), '\n')) + 15 AS chars FROM turns),
+joined AS (
+  SELECT conv_id, count(*) AS n_turns, sum(chars)::BIGINT AS formatted_chars,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS body,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS said
+  FROM sized GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(body) AS turns_sha256, length(said)::BIGINT AS loss_chars,
+  sha256(said) AS loss_sha256, formatted_chars FROM joined
+"""
+
+ORACLES = {"op1_line_dedup": LINES, "op9_chat_tree": CHAT, "op5_imatch": IMATCH, "op2_mix_sources": MIX, "op8_exact_dedup": EXACT}

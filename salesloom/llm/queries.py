@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import exact_dedup, imatch, line_dedup, mixing, near_dedup, packing, toxicity, url_filter
+from salesloom.llm import chat_tree, exact_dedup, imatch, line_dedup, mixing, near_dedup, packing, toxicity, url_filter
 from salesloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,23 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(read(spark, sf_dir, "documents"), exact_dedup.new_index_path(spark))
 
 
+def op9_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    columns = ["conv_id", "turn", "role", "text"]
+    tricky = "\\### Assistant: </turn> ok"
+    rows = (
+        read(spark, sf_dir, "conversations")
+        .select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+        .unionByName(
+            spark.createDataFrame(
+                [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string"
+            ).select(*columns)
+        )
+    )
+    trees, members = chat_tree.format_conversations(rows, tokenizer)
+    return members.join(chat_tree.read_back(trees, tokenizer), "leaf").drop("leaf")
+
+
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select(
@@ -86,5 +103,6 @@ QUERIES: dict[str, Query] = {
     "op5_imatch": op5_imatch,
     "op7_near_dedup": op7_near_dedup,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_chat_tree": op9_chat_tree,
     "op10_pack": op10_pack,
 }
