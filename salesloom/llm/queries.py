@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import chat_tree, exact_dedup, imatch, line_dedup, mixing, near_dedup, packing, toxicity, url_filter
+from salesloom.llm import chat_tree, exact_dedup, imatch, line_dedup, masked_lm, mixing, near_dedup, packing, toxicity, url_filter
 from salesloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,11 @@ def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprints(read(spark, sf_dir, "documents"))
 
 
+def op6_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return masked_lm.score(docs, masked_lm.train(docs))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.dedup(read(spark, sf_dir, "documents"))
 
@@ -101,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op3_url_filter": op3_url_filter,
     "op4_toxicity": op4_toxicity,
     "op5_imatch": op5_imatch,
+    "op6_masked_lm": op6_masked_lm,
     "op7_near_dedup": op7_near_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_chat_tree": op9_chat_tree,

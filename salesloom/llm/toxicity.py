@@ -209,3 +209,22 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def tag(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Fit on the labelled training documents and score all."""
     return score(docs, fit(*training_sample(docs, labels)))
+
+
+def keep_clean(
+    docs: DataFrame, model: Model, text_col: str = "text", threshold: float = TOXIC
+) -> DataFrame:
+    """Rows of ``docs`` whose score is below ``threshold``, with all their columns; nothing is shuffled."""
+    ship(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at_text = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                scores = model.score([t or "" for t in part.column(at_text).to_pylist()])
+                yield part.filter(pa.array([s < threshold for s, _, _ in scores], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
