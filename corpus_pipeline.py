@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.llm import line_dedup, mixing, near_dedup, packing, toxicity
-from salesloom.llm.common import read
+from salesloom.llm.common import fresh, read
 from salesloom.operators.staging import stage
 
 #: A word sequence cannot be tagged in SQL, so the pipeline is tested against plain versions.
@@ -32,19 +32,19 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near duplicates."""
-    verdicts = near_dedup.dedup(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(verdicts, docs["doc_id"].eqNullSafe(verdicts["kept_id"]), "left_semi")
+    left, right = docs.alias("d"), near_dedup.dedup(docs).where("kept").alias("k")
+    return left.join(right, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; one taken in part is there if at least half of it is."""
-    taken = mixing.mix(docs).where("size > 0").select(
-        F.col("doc_id").alias("taken_id"), F.expr("(2 * taken + size) div (2 * size)").alias("copies")
-    )
-    copies = stage(taken.where("copies > 0").groupBy("taken_id").agg(F.max("copies").alias("copies")), "mix_copies")
-    repeated = docs.join(copies, docs["doc_id"].eqNullSafe(copies["taken_id"]))
-    repeated = repeated.withColumn("_copy", F.explode(F.expr("sequence(1L, copies)")))
-    return repeated.select(*docs.columns)
+    copies = F.expr("(2 * taken + size) div (2 * size)")
+    taken = mixing.mix(docs).where("size > 0").select("doc_id", copies.alias("copies"))
+    taken = stage(taken.where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("copies")), "mix_copies")
+    left, right = docs.alias("d"), taken.alias("t")
+    met = left.join(right, F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")))
+    repeat = F.explode(F.sequence(F.lit(1).cast("long"), F.col("t.copies"))).alias(fresh(docs, "copy"))
+    return met.select("d.*", repeat).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from salesloom.llm.common import WORD, text_of
 from salesloom.operators.staging import stage
 
 #: Words per block, and the most times that a document may be taken.
-BLOCK = 64
+BLOCK = 16
 REPEATS = 3
 SEED = "mix-1"
 SHARD_WORDS = 32768

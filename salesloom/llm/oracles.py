@@ -28,16 +28,16 @@ aims AS (
   FROM sources, level),
 quotients AS (
   SELECT key, shared, row_number() OVER (ORDER BY weight::DOUBLE / (2 * k + 1) DESC, key) AS place
-  FROM (SELECT key, weight, shared, unnest(range(0, (shared + 32) // 64 + 1)) AS k FROM aims WHERE NOT stopped)),
+  FROM (SELECT key, weight, shared, unnest(range(0, (shared + 8) // 16 + 1)) AS k FROM aims WHERE NOT stopped)),
 quotas AS (
-  SELECT key, count(*) AS seats FROM quotients WHERE place <= (shared + 32) // 64 GROUP BY key),
+  SELECT key, count(*) AS seats FROM quotients WHERE place <= (shared + 8) // 16 GROUP BY key),
 placed AS (
   SELECT doc_id, key, size, source_size, target, stopped, coalesce(seats, 0) AS seats,
     md5('mix-1:order:' || coalesce(doc_id::VARCHAR, 'null')) AS place,
     ('0x' || substr(md5('mix-1:shard:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT % n_shards AS shard
   FROM sizes JOIN aims USING (key) LEFT JOIN quotas USING (key)),
 shards AS (
-  SELECT key, shard, stopped, seats, sum(size)::BIGINT AS words, ((sum(size) + 63) // 64)::BIGINT AS blocks
+  SELECT key, shard, stopped, seats, sum(size)::BIGINT AS words, ((sum(size) + 15) // 16)::BIGINT AS blocks
   FROM placed GROUP BY ALL),
 shard_quotients AS (
   SELECT key, shard, seats,
@@ -58,8 +58,8 @@ laid AS (
     CASE WHEN blocks > 0 THEN start + quota % blocks ELSE 0 END AS finish
   FROM placed JOIN runs USING (key, shard))
 SELECT doc_id, size, source_size, target, (passes * size
-  + greatest(0, least(stop, least(finish, blocks) * 64) - greatest(stop - size, start * 64))
-  + greatest(0, least(stop, (finish - blocks) * 64) - (stop - size)))::BIGINT AS taken
+  + greatest(0, least(stop, least(finish, blocks) * 16) - greatest(stop - size, start * 16))
+  + greatest(0, least(stop, (finish - blocks) * 16) - (stop - size)))::BIGINT AS taken
 FROM laid
 """
 
