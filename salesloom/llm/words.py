@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import sys
 from array import array
 from collections.abc import Iterator
@@ -13,6 +14,14 @@ from tokenizers import Tokenizer
 _WORDS = re.compile(r"[^ \t-\r]+").findall
 #: ``str.split`` cuts at these as well, the tokenizer does not.
 _SEPARATORS = re.compile("[\x1c-\x1f]").search
+_MARKS = string.punctuation
+#: Letters below this are composed and have lower-case forms of one letter.
+LATIN_END = "\u0250"
+_PROBES = ("word", "hello", "straße", "élève", "ñandú", "čeština", "xqzvw")
+_SIGNS = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+_OTHERS = [b for b in range(256) if b not in _SIGNS]
+#: The sign for each byte in byte-level vocabularies: itself if printable, else one after 255.
+_BYTE_SIGNS = {b: chr(b) for b in _SIGNS} | {b: chr(256 + i) for i, b in enumerate(_OTHERS)}
 #: Words remembered by a Python worker; beyond that it starts anew.
 REMEMBERED = 1_000_000
 
@@ -34,8 +43,18 @@ class WordIds:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.remembered = remembered
+        #: Whether lower-case Latin letters go straight to the model; tried, not assumed.
+        self.plain = all(
+            self._merged(w) == self.tokenizer.encode(w, add_special_tokens=False).ids for w in _PROBES
+        )
         self.ids: dict[str, bytes] = {}
 
+    def _merged(self, word: str) -> list[int]:
+        """Ids of a word that needs no normalising and no splitting: the model's merges alone."""
+        if not word.isascii():
+            word = "".join([_BYTE_SIGNS[b] for b in word.encode()])
+        return [token.id for token in self.tokenizer.model.tokenize(word)]
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         split = [words_of(t) for t in texts]
         new = set().union(*split).difference(self.ids)
@@ -48,25 +67,40 @@ class WordIds:
             yield b"".join(map(known, words))
 
     def _learn(self, words: set[str]) -> None:
-        """Encode ``words``; those that differ in case or a last stop only share their stem's ids."""
-        ids = self.ids
-        if "." not in ids:
-            self._encode([".", ","])
-        shared = []
+        """Encode ``words``; those that differ in case or in marks at the end share their stem's ids."""
+        ids, shared, new = self.ids, [], set()
         for word in words:
-            if word.isascii() and "<" not in word:
-                stem, tail = word.lower(), ""
-                if stem[-1] in ".," and len(stem) > 1 and stem[-2].isalpha():
-                    stem, tail = stem[:-1], stem[-1]
+            stem = word.rstrip(_MARKS)
+            # a run of marks after a letter is a piece of its own; "<" may begin a special token
+            if not stem or not stem[-1].isalpha() or stem[-1] >= LATIN_END or "<" in word:
+                new.add(word)
+                continue
+            tail = word[len(stem) :]
+            if stem.isascii():
+                stem = stem.lower()
+            if tail:
+                shared.append((word, stem, tail))
+                new.add(stem)
+                new.add(tail)
+            else:
+                new.add(stem)
                 if stem != word:
-                    shared.append((word, stem, tail))
-        own = words.difference([s[0] for s in shared]).union([s[1] for s in shared])
-        self._encode(list(own.difference(ids)))
+                    shared.append((word, stem, ""))
+        self._encode(new.difference(ids))
         ids.update((word, ids[stem] + ids[tail] if tail else ids[stem]) for word, stem, tail in shared)
 
-    def _encode(self, words: list[str]) -> None:
-        for at in range(0, len(words), 4096):
-            some = words[at : at + 4096]
+    def _encode(self, words: set[str]) -> None:
+        if self.plain:
+            rest = []
+            for word in words:
+                if word.isalpha() and max(word) < LATIN_END and word == word.lower():
+                    self.ids[word] = _little(self._merged(word))
+                else:
+                    rest.append(word)
+        else:
+            rest = list(words)
+        for at in range(0, len(rest), 4096):
+            some = rest[at : at + 4096]
             encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
             self.ids.update((w, _little(e.ids)) for w, e in zip(some, encoded))
 

@@ -115,5 +115,17 @@ def test_any_words():
     run()
 
 
+def test_latin_words_go_straight_to_the_model():
+    plain, words = Tokenizer.from_file(TOKENIZER), WordIds(TOKENIZER)
+    assert words.plain
+
+    @settings(max_examples=400, deadline=None)
+    @given(st.text(st.characters(max_codepoint=0x260, categories=["L"]), min_size=1, max_size=15))
+    def run(word):
+        assert np.frombuffer(next(words.encode([word])), "<u4").tolist() == plain.encode(word, add_special_tokens=False).ids
+
+    run()
+
+
 def test_words_of():
     assert words_of("a\x1cb c") == ["a\x1cb", "c"]
