@@ -8,9 +8,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NUMERIC = "decimal(38,9)"
-# Wide enough for any amount below 10^17, narrow enough that Spark keeps nine exact decimals.
+# Of amounts below 10^17 Spark keeps nine exact decimals by itself; larger ones take the long way.
 _AMOUNT = "decimal(26,9)"
 _NINTH = Decimal("0.000000001")
+_UNITS = "decimal(38,0)"
+_HUNDRED = Decimal(100)
 
 
 def month_of(c: Column) -> Column:
@@ -35,32 +37,95 @@ def cycle_days(
 
 
 def weighted_value(value: Column, percent: Column) -> Column:
-    """``value * percent / 100``, rounded once to nine decimals."""
-    share = (percent.cast("decimal(10,0)") * Decimal("0.01")).cast("decimal(12,2)")
-    return (value.cast(_AMOUNT) * share).cast(NUMERIC)
+    """``value * percent / 100``, rounded once half away from zero to nine decimals.
+
+    Exact for any amount and percent. NULL where the result needs more than 28 digits before the
+    point.
+    """
+    share = (percent.try_cast("decimal(9,0)") * Decimal("0.01")).cast("decimal(11,2)")
+    usual = (value.try_cast(_AMOUNT) * share).try_cast(NUMERIC)
+    return F.coalesce(usual, _wide_share(value, percent))
+
+
+def _wide_share(value: Column, percent: Column) -> Column:
+    """The same in whole billionths, hundreds apart from the rest, so no product loses a digit."""
+    units, share = _billionths(value), F.abs(percent.try_cast("decimal(20,0)"))
+    rest = units % _HUNDRED
+    hundreds = ((units - rest).cast(_UNITS) * Decimal("0.01")).cast("decimal(36,0)")
+    small = (rest.cast("decimal(2,0)") * share).cast("decimal(22,0)")
+    small_rest = small % _HUNDRED
+    small_part = ((small - small_rest) / _HUNDRED).cast("decimal(20,0)")
+    up = F.when(small_rest >= 50, 1).otherwise(0).cast("decimal(1,0)")
+    total = F.try_add(F.try_multiply(hundreds, share).try_cast(_UNITS), small_part + up)
+    total = total.try_cast(_UNITS)
+    billion = F.lit(Decimal(10**9))
+    low = total % billion
+    whole = ((total - low) / billion).try_cast("decimal(28,0)")
+    return _amount(whole, low, (value < 0) != (percent < 0))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
-    """Amount over positive amount, rounded half away from zero to nine decimals.
+    """Amount over amount, rounded half away from zero to nine decimals.
 
     Spark divides two decimal(38,9) to six decimals only. A double has the right ninth decimal
-    unless the quotient is large or next to a half; only then it is divided exactly.
+    unless the quotient is large or next to a half; only then it is divided digit by digit. NULL
+    where the quotient needs more than 28 digits before the point, or the denominator is 0.
     """
-    billionths = numerator.cast("double") / denominator.cast("double") * 1e9
+    billionths = F.try_divide(numerator.cast("double"), denominator.cast("double")) * 1e9
     beside_half = F.abs(F.abs(billionths - F.floor(billionths)) - 0.5)
     certain = (F.abs(billionths) < 1e12) & (beside_half > 0.001)
-    rounded = F.floor(billionths + 0.5).cast("decimal(20,0)") * F.lit(_NINTH)
+    rounded = F.floor(billionths + 0.5).try_cast("decimal(20,0)") * F.lit(_NINTH)
     return F.when(certain, rounded.cast(NUMERIC)).otherwise(_long_ratio(numerator, denominator))
 
 
 def _long_ratio(numerator: Column, denominator: Column) -> Column:
-    """The same by exact integer divisions, the whole part apart from the remainder."""
-    n, d = numerator.cast(_AMOUNT), denominator.cast(_AMOUNT)
-    whole = F.call_function("div", n, d).cast("decimal(20,0)")
-    rest = F.abs(n % d).cast(_AMOUNT) * F.lit(Decimal(2 * 10**9))
-    billionths = F.call_function("div", rest.cast("decimal(37,9)") + d, d + d)
-    unit = F.when(n < 0, F.lit(-_NINTH)).otherwise(F.lit(_NINTH))
-    return (whole + billionths.cast("decimal(10,0)") * unit).cast(NUMERIC)
+    """The same by long division of whole billionths: the whole part, then nine digits."""
+    n = _billionths(numerator)
+    d = F.when(denominator != 0, _billionths(denominator))
+    first = n % d
+    whole = F.try_divide(n - first, d).try_cast("decimal(28,0)")
+
+    def next_digit(state: Column, _: Column) -> Column:
+        # the product is NULL, never wrong, if it needs more than 38 digits
+        return F.struct(
+            F.try_multiply(state["rest"], F.lit(Decimal(10))).try_cast(_UNITS).alias("tenfold"),
+            state["digits"].alias("digits"),
+        )
+
+    def take(state: Column) -> Column:
+        rest = state["tenfold"] % d
+        digit = ((state["tenfold"] - rest) / d).cast("long")
+        return F.struct(rest.cast(_UNITS).alias("rest"), (state["digits"] * 10 + digit).alias("digits"))
+
+    start = F.struct(first.cast(_UNITS).alias("rest"), F.lit(0).cast("long").alias("digits"))
+    steps = F.sequence(F.lit(1), F.lit(9))
+    # a one-element array names the intermediate state, so it is computed once per digit
+    end = F.aggregate(
+        steps, start, lambda s, i: F.element_at(F.transform(F.array(next_digit(s, i)), take), 1)
+    )
+    up = F.when(end["rest"] >= d - end["rest"], 1).otherwise(0)
+    digits = (end["digits"] + up).cast("decimal(10,0)")
+    return _amount(whole, digits, (numerator < 0) != (denominator < 0))
+
+
+def _billionths(c: Column) -> Column:
+    """The size of a decimal(38,9) as a whole number of billionths, of 38 digits at most.
+
+    Spark's abs and unary minus keep 34 digits only, so signs are turned by subtraction.
+    """
+    c = c.try_cast(NUMERIC)
+    part = c % Decimal(1)
+    whole = (c - part).cast("decimal(29,0)")
+    units = (whole * F.lit(Decimal(10**9))).cast(_UNITS)
+    units = (units + (part * F.lit(Decimal(10**9))).cast("decimal(10,0)")).cast(_UNITS)
+    return F.when(units < 0, F.lit(Decimal(0)) - units).otherwise(units).cast(_UNITS)
+
+
+def _amount(whole: Column, billionths: Column, negative: Column) -> Column:
+    """Whole part of 28 digits at most, billionths and sign, as decimal(38,9)."""
+    part = (billionths.cast("decimal(10,0)") * F.lit(_NINTH)).cast("decimal(10,9)")
+    signed = F.when(negative, F.try_add(-whole, -part)).otherwise(F.try_add(whole, part))
+    return signed.try_cast(NUMERIC)
 
 
 def ratio_or_zero(numerator: Column, denominator: Column) -> Column:

@@ -6,13 +6,17 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.operators.keys import assert_unique
 from salesloom.operators.staging import stage
+from salesloom.sources import files
 
-OPEN = "open"
+# Folders of a stored history: open versions by turns in one of two, closed ones by run, commits.
+OPEN = ("open_a", "open_b")
+CLOSED, COMMITS = "closed", "commits"
+COMMIT = "number bigint, run string, folder string"
 RUN_COLUMN = "closed_run"
 HOUSEKEEPING = ("scd_id", "updated_at", "valid_from", "valid_to")
 
@@ -127,9 +131,37 @@ def scd2_as_of(history: DataFrame, moment: datetime) -> DataFrame:
     )
 
 
+def history_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a run has been committed to the history under ``path``."""
+    return files.exists(spark, f"{path}/{COMMITS}") and _last_commit(spark, path) is not None
+
+
+def read_open(spark: SparkSession, path: str) -> DataFrame:
+    """The open versions of the last committed run; closed ones are not read."""
+    return spark.read.parquet(f"{path}/{_last_commit(spark, path)['folder']}")
+
+
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """All versions stored under ``path``."""
-    return spark.read.parquet(path).drop(RUN_COLUMN)
+    """All versions stored under ``path``, with every column that any of them has."""
+    last = _last_commit(spark, path)
+    opened = read_open(spark, path)
+    if not files.exists(spark, f"{path}/{CLOSED}"):
+        return opened
+    closed = spark.read.option("mergeSchema", True).parquet(f"{path}/{CLOSED}")
+    # folders of a run that was not committed are later than the last one that was
+    closed = closed.where(F.col(RUN_COLUMN) <= last["run"]).drop(RUN_COLUMN)
+    return opened.unionByName(closed, allowMissingColumns=True)
+
+
+def _last_commit(spark: SparkSession, path: str) -> Row | None:
+    commits = spark.read.schema(COMMIT).parquet(f"{path}/{COMMITS}")
+    return commits.orderBy(F.desc("number")).first()
+
+
+def _commit(spark: SparkSession, path: str, number: int, run: str, folder: str) -> None:
+    """The one step that makes a run count: a row in the list of commits."""
+    row = spark.createDataFrame([(number, run, folder)], COMMIT)
+    row.coalesce(1).write.mode("append").parquet(f"{path}/{COMMITS}")
 
 
 def update_history(
@@ -143,23 +175,28 @@ def update_history(
 ) -> None:
     """Load the source into the history stored under ``path``.
 
-    Open versions fill one partition folder and the versions that a run closes fill another, so
-    a run reads and rewrites open versions only; what was closed before is never touched. The
-    write replaces whole partition folders when the job commits. Run it again with the same
-    ``run_time`` and it writes the same folders.
+    A run reads the open versions of the last committed run and nothing that was closed before. It
+    writes the versions it closes to a folder of its own, then all open versions to the other
+    one of two folders, and last a commit that points there. A run that stops before its commit
+    has changed nothing that is read; run it again and it overwrites what it left. A run that is
+    committed already is not loaded twice, and runs go forward in time.
     """
-    if first:
+    run = _utc(run_time).astimezone(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    last = _last_commit(spark, path) if history_exists(spark, path) else None
+    if first != (last is None):
+        raise ValueError(f"{path} holds {'a' if last else 'no'} history")
+    if last is None:
         assert_unique(source.where(F.col(key).isNotNull()), [key])
-        merged = scd2_init(source, key, run_time)
+        number, folder, merged = 1, OPEN[0], scd2_init(source, key, run_time)
     else:
-        stored = spark.read.parquet(path)
-        opened = stored.where(F.col(RUN_COLUMN) == OPEN).drop(RUN_COLUMN)
-        merged = scd2_merge(opened, source, key, checked, run_time)
-    run = F.when(F.col("valid_to").isNull(), OPEN).otherwise(run_time.strftime("%Y%m%dT%H%M%S%f"))
-    (
-        merged.withColumn(RUN_COLUMN, run)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(RUN_COLUMN)
-        .parquet(path)
-    )
+        if run == last["run"]:
+            return
+        if run < last["run"]:
+            raise ValueError(f"run {run} is earlier than the last one, {last['run']}")
+        number, folder = last["number"] + 1, OPEN[last["number"] % 2]
+        merged = scd2_merge(read_open(spark, path), source, key, checked, run_time)
+        closed = merged.where(F.col("valid_to").isNotNull())
+        closed.write.mode("overwrite").parquet(f"{path}/{CLOSED}/{RUN_COLUMN}={run}")
+    opened = merged.where(F.col("valid_to").isNull())
+    opened.write.mode("overwrite").parquet(f"{path}/{folder}")
+    _commit(spark, path, number, run, folder)

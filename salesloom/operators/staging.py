@@ -2,25 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from salesloom.sources import files
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder.
+    """The cluster's checkpoint folder; where none is set, one in the session's warehouse.
 
-    A temporary folder stands in on a local master only, where one machine holds all tasks.
+    The warehouse holds the tables, so executors share it too.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="salesloom-"))
-    return context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+    return folder.rstrip("/")
+
+
+def _staged(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/staged/{spark.sparkContext.applicationId}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -28,17 +29,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
     Unlike a cache it survives lost executors and is computed once. Unlike a checkpoint it
     carries its real size, by which Spark picks broadcast joins, and it can be read by column.
+    ``clear_staged`` removes what an application has staged.
     """
-    path = f"{shared_folder(df.sparkSession)}/staged/{label}-{uuid.uuid4().hex}"
+    path = f"{_staged(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores if they come in far fewer partitions than there are cores.
-
-    Few files that cannot be split, such as whole JSON documents, would keep the work that
-    follows in few tasks. Larger input is left as it is: there the shuffle would not pay.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
+def clear_staged(spark: SparkSession) -> None:
+    """Remove the tables that this application has staged; call it when its results are stored."""
+    files.remove(spark, _staged(spark))

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.functions import clean, measures
+from salesloom.functions import measures
 from salesloom.operators import keys
-from salesloom.plans.silver import _with_dimensions
+from salesloom.plans.silver import _with_dimensions, goal_name
 
 WON = "won"
 
@@ -37,7 +37,7 @@ def goals_vs_actuals(
     """
 
     def name_key(c: Column) -> Column:
-        return clean.title_case(clean.strip_accents(c)) if normalize_names else c
+        return goal_name(c) if normalize_names else c
 
     named = sellers.select(name_key(F.col("nome_vendedor")).alias("_name"), "sk_vendedor")
     goal = (

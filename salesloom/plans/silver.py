@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from salesloom.functions import clean, measures
 from salesloom.operators import keys, shape
+from salesloom.operators.staging import stage
 
 # Revenue above which a company is in a tier, highest first, and where sellers
 # come from.
@@ -51,8 +52,9 @@ def seller_dim(
     """Distinct sellers of the CRM with a surrogate key; stored as a side effect.
 
     The key is the seller's own id, or a number by name order where the id is no integer.
-    ``include_goal_only`` adds sellers that only the goals name. A seller spelled in two ways
-    has two rows, as in the CRM.
+    ``include_goal_only`` adds sellers that only the goals name; goal names carry no accents, so
+    the CRM's names are cleaned before they are compared. A seller spelled in two ways has two
+    rows, as in the CRM.
     """
     owned = raw_deals.where(F.col("owner_id").isNotNull())
     members = shape.distinct_members(
@@ -74,12 +76,17 @@ def seller_dim(
                 ("origem", F.lit(FROM_SHEET)),
             ],
         )
-        members = members.unionByName(
-            named.join(members.select("nome_vendedor"), "nome_vendedor", "left_anti")
-        )
+        members = stage(members, "members")  # read twice below, computed once
+        known = members.select(goal_name(F.col("nome_vendedor")).alias("nome_vendedor"))
+        members = members.unionByName(named.join(known, "nome_vendedor", "left_anti"))
     return keys.surrogate_key(members, "vendedor_id", ["nome_vendedor"], "sk_vendedor")
 
 
+def goal_name(c: Column) -> Column:
+    """A seller's name as goals write it once they are clean."""
+    return clean.title_case(clean.strip_accents(c))
+
+
 def goal_fact(goals: DataFrame) -> DataFrame:
     """The best goal per seller and month: highest value, then commission, then deals.
 

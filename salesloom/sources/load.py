@@ -51,10 +51,11 @@ def crm_sources(folder: str, lines: bool = False) -> list[ApiSource]:
     ]
 
 
-def sheet_sources(folder: str) -> list[GridSource]:
+def sheet_sources(folder: str, multi_line: bool = True) -> list[GridSource]:
     """The four spreadsheets, each exported as ``<sheet>.csv``."""
     return [
-        GridSource(sheet, ((sheet, f"{folder}/{sheet}.csv"),)) for sheet in schemas.SHEET_TABLES
+        GridSource(sheet, ((sheet, f"{folder}/{sheet}.csv"),), multi_line)
+        for sheet in schemas.SHEET_TABLES
     ]
 
 
@@ -73,15 +74,15 @@ def _malformed(error: Exception) -> bool:
 def load_api(spark: SparkSession, source: ApiSource, raw_root: str, run_time: datetime) -> tuple:
     """One entity: read, stamp, land in the raw zone, load the landed rows into staging.
 
-    An absent, empty or malformed dump is skipped and the table keeps its rows. Failures of
-    the landing or the load stop the job.
+    The dump is parsed once, by the landing. An absent, empty or malformed dump is skipped; raw
+    zone and table keep what they hold. Failures of the landing or the load stop the job.
     """
     try:
         records = read_api_envelope(spark, source.path, source.schema, source.lines)
-        if records.isEmpty():
-            return (source.path, source.table, "skipped", None, "no records")
         stamped = stamp(records, run_time)
-        landed = land(stamped, raw_root, source.entity, run_time.date())
+        landed = land(stamped, raw_root, source.entity, run_time.date(), keep_if_empty=True)
+        if landed is None:
+            return (source.path, source.table, "skipped", None, "no records")
     except SPARK_ERRORS as error:
         if _missing(error):
             return (source.path, source.table, "skipped", None, "not found")
@@ -97,22 +98,23 @@ def load_tab(
 ) -> tuple:
     """One tab: read, drop blank rows, stamp, clean the names, store every column as text.
 
-    A tab that cannot be opened is an error; one that cannot be read, or is empty, is skipped.
+    The tab is parsed once, by the write. A tab that cannot be opened, or whose rows do not fit its
+    header, is an error; one that cannot be read, or is empty, is skipped. The table then keeps its
+    rows.
     """
     table = table_name(tab)
     try:
         grid = drop_blank_rows(read_grid(spark, path, multi_line=multi_line))
-        if grid.isEmpty():
+        if not grid.columns:
             return (sheet, table, "skipped", None, "no rows")
-    except SPARK_ERRORS as error:
-        status = "error" if _missing(error) else "skipped"
-        return (sheet, table, status, None, str(error))
-    try:
         texts = stringify_all(rename_columns(stamp(grid, run_time, sheet)))
-        return (sheet, table, "success", replace_table(texts, STAGING, table), None)
+        rows = replace_table(texts, STAGING, table, keep_if_empty=True)
     except Exception as error:  # a tab must not stop the others
-        log.exception("load of %s failed", tab)
+        if isinstance(error, SPARK_ERRORS) and not _missing(error) and "USER_RAISED" not in str(error):
+            return (sheet, table, "skipped", None, str(error))
+        log.warning("load of %s failed: %s", tab, error)
         return (sheet, table, "error", None, str(error))
+    return (sheet, table, "success", rows, None) if rows else (sheet, table, "skipped", None, "no rows")
 
 
 def run_sources(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +12,15 @@ from pyspark.sql import types as T
 
 from salesloom.functions.clean import missing_to_null
 from salesloom.functions.names import header_names, table_name
-from salesloom.operators.staging import spread
 
 # The members of an API response besides its records.
 ENVELOPE_MEMBERS = ("success", "additional_data")
+# Columns that catch cells beyond the header.
+SURPLUS = tuple(f"_surplus_{i}" for i in range(8))
+
+
+class HeaderMismatch(ValueError):
+    """Files of one grid have different headers."""
 
 
 def read_api_envelope(
@@ -22,13 +29,17 @@ def read_api_envelope(
     schema: str | T.StructType | None = None,
     lines: bool = False,
     records: str = "data",
+    partitions: int | None = None,
 ) -> DataFrame:
     """Records of API dumps: ``{"data": [...]}``, a bare list, or one object per record.
 
     The form is told apart per file, so a folder may mix them. A file holds one JSON document,
     such as one page of a paged response, and is the unit of parallel work. With ``lines`` each
-    line is a document and large files are split. A schema is the layout of one record; fields
-    beyond it are ignored. Without one Spark infers it. Malformed JSON is an error.
+    line is a document and large files are split; that is the form for large dumps. A caller who
+    knows that few whole documents hold many records may deal them out to ``partitions``. A schema
+    is the layout of one record; fields beyond it are ignored. Without one Spark infers it.
+    Malformed JSON is an error. A document without any field of a record, such as
+    ``{"data": null}``, is no record.
     """
     reader = spark.read.option("multiLine", not lines).option("mode", "FAILFAST")
     if schema is None:
@@ -54,9 +65,11 @@ def read_api_envelope(
             for f in record
         ]
     )
-    rows = F.when(envelope, F.col(records)).otherwise(F.array(bare))
+    present = [F.col(f"`{f.name}`").isNotNull() for f in record if f.name in documents.columns]
+    is_record = reduce(or_, present, F.lit(False))
+    rows = F.when(envelope, F.col(records)).when(is_record, F.array(bare))
     found = documents.select(F.explode(rows).alias("_record")).select("_record.*")
-    return found if lines else spread(found)
+    return found.repartition(partitions) if partitions else found
 
 
 def _document(record: T.StructType, records: str) -> T.StructType:
@@ -73,21 +86,44 @@ def _mixed(found: DataFrame, records: str) -> bool:
     return bool(set(found.columns) - {records, *ENVELOPE_MEMBERS})
 
 
-def read_grid(spark: SparkSession, path: str, sep: str = ",", multi_line: bool = True) -> DataFrame:
+def read_grid(
+    spark: SparkSession,
+    path: str,
+    sep: str = ",",
+    multi_line: bool = True,
+    partitions: int | None = None,
+) -> DataFrame:
     """Spreadsheet export with a header row, every cell text and empty cells NULL.
 
     A repeated header gets its position. ``multi_line`` allows line breaks within cells, at the
-    price of one task per file; turn it off for large exports without them.
+    price of one task per file; turn it off for large exports without them, or deal the rows out
+    to ``partitions``. A row with a cell beyond the header is an error, and so are files of one
+    folder whose headers differ.
     """
     reader = spark.read.option("sep", sep).option("multiLine", multi_line).option("escape", '"')
     first = reader.option("header", False).csv(path).first()
     if first is None:
         return spark.createDataFrame([], T.StructType([]))
-    layout = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(first))])
+    names = [f"c{i}" for i in range(len(first))]
+    layout = T.StructType([T.StructField(c, T.StringType()) for c in (*names, *SURPLUS)])
     cells = reader.option("header", True).option("enforceSchema", True).schema(layout).csv(path)
-    texts = [F.when(F.col(c) != "", F.col(c)).alias(c) for c in cells.columns]
+    if len(files := cells.inputFiles()) > 1:
+        _same_headers(reader, files, first)
+    surplus = F.concat_ws(sep, *SURPLUS)
+    beyond = F.concat(F.lit(f"a row has cells beyond the {len(first)} headers: "), surplus)
+    texts = [F.when(F.col(c) != "", F.col(c)).alias(c) for c in names]
+    # the check stands in the first cell, so no reader can skip it without skipping the cells
+    texts[0] = F.when(surplus.rlike(f"[^{sep}]"), F.raise_error(beyond)).otherwise(texts[0]).alias("c0")
     grid = cells.select(*texts).toDF(*header_names(first))
-    return spread(grid) if multi_line else grid
+    return grid.repartition(partitions) if partitions else grid
+
+
+def _same_headers(reader, files: list[str], first) -> None:
+    """Refuse files whose first row differs from ``first``; looks at one row of each file."""
+    for file in files:
+        row = reader.option("header", False).csv(file).first()
+        if row is not None and tuple(row) != tuple(first):
+            raise HeaderMismatch(f"{file} has the headers {list(row)}, other files {list(first)}")
 
 
 def stringify_all(df: DataFrame) -> DataFrame:

@@ -2,24 +2,35 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from salesloom.functions.names import qualified_name
+from salesloom.sources import files
 
 
 def ensure_database(spark: SparkSession, layer: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer.strip()}`")
 
 
-def replace_table(df: DataFrame, layer: str, table: str) -> int:
+def replace_table(
+    df: DataFrame,
+    layer: str,
+    table: str,
+    partition_by: Sequence[str] = (),
+    keep_if_empty: bool = False,
+) -> int:
     """Full refresh of ``layer.table``; gives the number of rows written.
 
     The rows go to whichever of two folders the table does not point at, and only a finished
-    write moves the table over. A failed load leaves the old rows in place, and a table may be
-    computed from its own old rows.
+    write moves the table over, by changing its location. A failed load leaves the old rows in
+    place, the table is never absent, and it may be computed from its own old rows. With
+    ``keep_if_empty`` a refresh without rows leaves the table alone. A table whose columns or
+    partitioning changed is made anew. ``partition_by`` columns make folders that reads can skip.
     """
     spark = df.sparkSession
     ensure_database(spark, layer)
@@ -29,11 +40,46 @@ def replace_table(df: DataFrame, layer: str, table: str) -> int:
     current = _location(spark, name)
     target = folders[1] if current and current.endswith("/a") else folders[0]
 
+    df = df.select(*[c for c in df.columns if c not in partition_by], *partition_by)
+    if partition_by:  # few files per folder; a folder with many rows is split all the same
+        df = df.hint("rebalance", *partition_by)
     counted = Observation()
-    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=target, source="parquet", schema=df.schema)
-    return counted.get["rows"]
+    rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+    written = counted.get["rows"]
+    if keep_if_empty and not written:
+        return 0
+    if current and _layout(spark, name) == (_types(df.schema), list(partition_by)):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{target}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        _create(spark, name, df.schema, partition_by, target)
+    spark.catalog.refreshTable(name)
+    return written
+
+
+def _create(
+    spark: SparkSession, name: str, schema: StructType, partition_by: Sequence[str], path: str
+) -> None:
+    """A table over a folder. Partitions are found in its files, so they move with its location."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    setting = "spark.sql.hive.manageFilesourcePartitions"
+    before = spark.conf.get(setting, "true")
+    spark.conf.set(setting, "false")
+    try:
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {parts} LOCATION '{path}'")
+    finally:
+        spark.conf.set(setting, before)
+
+
+def _types(schema: StructType) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in schema]
+
+
+def _layout(spark: SparkSession, name: str) -> tuple[list[tuple[str, str]], list[str]]:
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    return _types(spark.table(name).schema), parts
 
 
 def _location(spark: SparkSession, name: str) -> str | None:
@@ -50,11 +96,24 @@ def replace_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def land(df: DataFrame, root: str, entity: str, day: date) -> str:
+def land(df: DataFrame, root: str, entity: str, day: date, keep_if_empty: bool = False) -> str | None:
     """Write records as line-JSON to the raw zone, one folder per entity and load date.
 
-    A second load on the same day replaces that day's folder only.
+    A second load on the same day replaces that day's folder only, once it is written in full
+    beside it; a load that fails leaves the folder as it was. With ``keep_if_empty`` so does a
+    load without records, and None is returned.
     """
+    spark = df.sparkSession
     path = f"{root.rstrip('/')}/raw/crm/{entity}/ingest_date={day.isoformat()}"
-    df.write.mode("overwrite").json(path)
+    fresh = files.beside(path)
+    counted = Observation()
+    try:
+        df.observe(counted, F.count(F.lit(1)).alias("rows")).write.json(fresh)
+    except Exception:
+        files.remove(spark, fresh)
+        raise
+    if keep_if_empty and not counted.get["rows"]:
+        files.remove(spark, fresh)
+        return None
+    files.swap_in(spark, fresh, path)
     return path

@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from salesloom.operators.staging import clear_staged  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -16,10 +18,12 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="salesloom-warehouse-"))
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="salesloom-shared-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_staged(session)
     session.stop()
 
 

@@ -55,7 +55,7 @@ def test_layers(spark, built):
     assert len(spark.table("gold.obt_vendas_analitico").columns) == 19
     assert len(spark.table("silver.fct_vendas").columns) == 13
     assert len(spark.table("stg_crm_deals").columns) == 23
-    assert len(built) == 16
+    assert len(built) == 17
 
 
 def test_snapshots(spark, built, folder):

@@ -116,13 +116,62 @@ def test_many_runs_in_memory_and_stored_equal_the_model(spark, folder):
     assert content(history.read_history(spark, path)) == expected
 
 
-def test_stored_runs_read_open_versions_only(spark, folder, capsys):
+def test_stored_runs_read_open_versions_only(spark, folder):
     path = f"{folder}/history"
     for n, stage in enumerate("xyz"):
         source = frame(spark, [("a", stage, 1, "t"), ("b", "x", 1, "t")])
         history.update_history(spark, path, source, "id", CHECKED, day(n), first=n == 0)
     assert history.read_history(spark, path).count() == 4
-    stored = spark.read.parquet(path).where(F.col(history.RUN_COLUMN) == history.OPEN)
-    assert len(stored.inputFiles()) >= 1
-    stored.explain()
-    assert "PartitionFilters: [isnotnull(closed_run" in capsys.readouterr().out
+    opened = history.read_open(spark, path)
+    assert opened.count() == 2 and all("/closed" not in file for file in opened.inputFiles())
+
+
+def test_a_column_gained_over_four_runs_keeps_its_values(spark, folder):
+    path = f"{folder}/history"
+    for n in range(4):
+        rows = [("a", "x", n, "t"), ("b", "x", 1, "t"), ("c", "x", min(n, 2), "t")]
+        source = frame(spark, rows)
+        if n >= 2:
+            source = source.withColumn("owner", F.concat(F.lit("o"), F.lit(n)))
+        history.update_history(spark, path, source, "id", CHECKED, day(n), first=n == 0)
+    got = {(r.id, r.value): r.owner for r in history.read_history(spark, path).collect()}
+    assert got == {
+        ("a", 0): None, ("a", 1): None, ("a", 2): "o2", ("a", 3): "o3",
+        ("b", 1): None, ("c", 0): None, ("c", 1): None, ("c", 2): "o2",
+    }
+
+
+@pytest.mark.parametrize("step", ["first write", "second write", "commit"])
+def test_a_run_that_stops_changes_nothing_and_can_run_again(spark, folder, monkeypatch, step):
+    path = f"{folder}/history"
+    runs = [
+        [("a", "x", 0, "t"), ("b", "x", 0, "t")],
+        [("a", "y", 0, "t"), ("b", "x", 0, "t")],
+        [("a", "y", 1, "t"), ("c", "x", 0, "t")],
+    ]
+    for n, rows in enumerate(runs[:2]):
+        history.update_history(spark, path, frame(spark, rows), "id", CHECKED, day(n), first=n == 0)
+    before = content(history.read_history(spark, path))
+    with monkeypatch.context() as broken:
+        writes = {"first write": 0, "second write": 1, "commit": 2}[step]
+        writer = type(frame(spark, runs[0]).write)
+        real, done = writer.parquet, []
+
+        def parquet(self, target, *args, **more):
+            if target.startswith(path):
+                if len(done) == writes:
+                    raise RuntimeError("stopped")
+                done.append(target)
+            return real(self, target, *args, **more)
+
+        broken.setattr(writer, "parquet", parquet)
+        with pytest.raises(RuntimeError, match="stopped"):
+            history.update_history(spark, path, frame(spark, runs[2]), "id", CHECKED, day(2), first=False)
+    assert content(history.read_history(spark, path)) == before
+    for _ in range(2):  # the second time it is committed already
+        history.update_history(spark, path, frame(spark, runs[2]), "id", CHECKED, day(2), first=False)
+        assert content(history.read_history(spark, path)) == model(runs)
+    with pytest.raises(ValueError, match="earlier"):
+        history.update_history(spark, path, frame(spark, runs[2]), "id", CHECKED, day(1), first=False)
+    with pytest.raises(ValueError, match="a history"):
+        history.update_history(spark, path, frame(spark, runs[2]), "id", CHECKED, day(5), first=True)

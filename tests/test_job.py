@@ -4,6 +4,7 @@ import json
 import os
 
 from salesloom.__main__ import main
+from salesloom.operators.history import read_history
 
 
 def deal(n, owner, status, value, channel, **more):
@@ -85,5 +86,5 @@ def test_job(spark, folder):
     assert rows("silver.dim_produtos", "preco_base", "margem_minima_pct") == [
         ("1234.500000000", "0.150000000")
     ]
-    assert spark.read.parquet(f"{lake}/snapshots/crm_deals").count() == 3
+    assert read_history(spark, f"{lake}/snapshots/crm_deals").count() == 3
     assert spark.table("staging.territorios_segmentos").columns[0] == "territorio"

@@ -64,3 +64,43 @@ def test_fill_zero(spark):
     df = spark.sql("select cast(null as decimal(18,2)) as a, 3 as b")
     row = df.select(measures.fill_zero(F.col("a")), measures.fill_zero(F.col("b"))).first()
     assert tuple(row) == (0, 3)
+
+
+def test_wide_amounts_are_exact_or_null(spark):
+    """From 1e-9 to 1e28 a result is right, or NULL where it does not fit; never another number."""
+    rng = random.Random(9)
+
+    def amount():
+        size = rng.randint(-9, 28)
+        return (Decimal(rng.randint(1, 10**38 - 1)).scaleb(size - 38)).quantize(NANO)
+
+    with localcontext() as context:
+        context.prec = 80
+        pairs = [(amount() * rng.choice((1, -1)), amount() or NANO, rng.randint(-(10**12), 10**12)) for _ in range(4000)]
+        edges = [Decimal(10) ** k for k in range(-9, 29)]
+        pairs += [(a, b, 10**18) for a in edges for b in edges]
+        pairs += [(Decimal("1e12"), NANO, 1), (Decimal("1e17"), Decimal(3), 2 * 10**10)]
+        df = spark.createDataFrame(pairs, "n decimal(38,9), d decimal(38,9), p bigint")
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            rows = df.select(
+                "*",
+                measures.ratio(F.col("n"), F.col("d")).alias("ratio"),
+                measures.weighted_value(F.col("n"), F.col("p")).alias("weighted"),
+            ).collect()
+            missing = 0
+            for r in rows:
+                for got, exact in ((r.ratio, r.n / r.d), (r.weighted, r.n * r.p / 100)):
+                    expected = exact.quantize(NANO, ROUND_HALF_UP)
+                    if abs(expected) < Decimal(10) ** 28:
+                        assert got == expected, (r, exact)
+                    else:
+                        assert got is None or got == expected
+                        missing += 1
+            assert missing > 100
+    spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_a_ratio_by_zero_is_null(spark):
+    df = spark.sql("select cast(1 as decimal(38,9)) as n, cast(0 as decimal(38,9)) as d")
+    assert df.select(measures.ratio(F.col("n"), F.col("d"))).first()[0] is None

@@ -143,4 +143,5 @@ def test_staged_tables_lie_in_the_shared_folder(spark):
     assert shared_folder(spark) == folder.rstrip("/")
     staged = stage(spark.range(3), "numbers")
     assert staged.count() == 3
-    assert f"{shared_folder(spark).removeprefix('file:')}/staged/numbers-" in staged.inputFiles()[0]
+    own = f"{shared_folder(spark).removeprefix('file:')}/staged/{spark.sparkContext.applicationId}/numbers-"
+    assert own in staged.inputFiles()[0]
