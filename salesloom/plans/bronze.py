@@ -137,14 +137,16 @@ def stg_metas_vendedores(
 ) -> DataFrame:
     """One row per goal entry that names a seller; names without accents, in title case."""
     columns = [
-        ("nome_vendedor", clean.title_case(clean.strip_accents(F.col("vendedor")))),
+        ("nome_vendedor", clean.title_case(F.col("_stripped"))),
         ("mes_referencia", clean.parse_date_multi(F.col("mes"))),
         ("meta_valor", money(F.col("meta_receita"))),
         ("meta_qtd_deals", clean.safe_int(F.col("meta_deals_fechados"))),
         ("comissao_pct", clean.percent_digits(F.col("comissao_percentual"))),
     ]
     # The cleaned name is NULL exactly when the raw one is, and a raw column reaches the scan.
-    return project(source.where(F.col("vendedor").isNotNull()), columns)
+    named = source.where(F.col("vendedor").isNotNull())
+    # Named in a step of its own, the stripped text is computed once, not at each of its uses.
+    return project(named.withColumn("_stripped", clean.strip_accents(F.col("vendedor"))), columns)
 
 
 def stg_produtos(source: DataFrame) -> DataFrame:

@@ -52,6 +52,10 @@ _SEGMENT_CHANNEL = """case c_mktsegment when 'AUTOMOBILE' then 'Google Ads'
     when 'BUILDING' then 'Facebook Ads' when 'FURNITURE' then 'LinkedIn Ads'
     when 'HOUSEHOLD' then 'Eventos' else 'Webinar' end"""
 
+_LABEL = """case when lower(origem_lead) like '%gogle%' then 'Google Ads'
+    when lower(origem_lead) like '%face%' then 'Facebook Ads'
+    when lower(origem_lead) like '%linkedin%' then 'LinkedIn Ads' else origem_lead end"""
+
 _CTE = {
     "deals": f"""
         select 'deal_' || o_orderkey as deal_id,
@@ -132,10 +136,7 @@ _CTE = {
         join customer on o_custkey = c_custkey""",
     "costs": f"""
         select {_clean_date("data")} as data_custo,
-            case when lower(origem_lead) like '%gogle%' then 'Google Ads'
-                when lower(origem_lead) like '%face%' then 'Facebook Ads'
-                when lower(origem_lead) like '%linkedin%' then 'LinkedIn Ads'
-                else origem_lead end as canal_aquisicao,
+            {_LABEL} as canal_aquisicao,
             custo_total, qtd_leads, observacoes,
             'custos_aquisicao_v2' as origem_arquivo
         from raw_costs where data is not null""",
@@ -177,9 +178,24 @@ _CTE = {
         where h.id is null or h.stage is distinct from n.stage
             or h.status is distinct from n.status or h.value is distinct from n.value""",
 }
+_CTE |= {
+    "odd_owners": """
+        select deal_id, valor_estimado,
+            case when cast(substr(deal_id, 6) as bigint) % 11 <> 0 then
+                case when vendedor_id = 5 then 'x5' else cast(vendedor_id as varchar) end end as owner,
+            case when vendedor_id = 3 and etapa_id = 2 then upper(owner_name) else owner_name end as name
+        from deals""",
+    "odd_sellers": """
+        select coalesce(vendedor_id, row_number() over (
+                order by nome_vendedor nulls first, vendedor_id nulls first) + 100000) as sk_vendedor, *
+        from (select distinct try_cast(owner as bigint) as vendedor_id, name as nome_vendedor,
+            'CRM' as origem from odd_owners where owner is not null)""",
+}
 # What each of them reads.
 _NEEDS = {
     "sellers": ["deals"],
+    "odd_owners": ["deals"],
+    "odd_sellers": ["odd_owners"],
     "goal_fact": ["goals"],
     "costs": ["raw_costs"],
     "sales": ["deals", "sellers", "companies"],
@@ -331,7 +347,9 @@ ORACLES: dict[str, str] = {
         from (select vendedor_id, nome_vendedor, origem from sellers
             union all
             select distinct cast(null as bigint), nome_vendedor, 'Planilha' from goals
-            where nome_vendedor not in (select nome_vendedor from sellers))""",
+            where nome_vendedor not in (select """
+        + _title("strip_accents(nome_vendedor)")
+        + """ from sellers))""",
         "sellers",
         "goals",
     ),
@@ -487,11 +505,8 @@ ORACLES: dict[str, str] = {
         select event_id as event, case when event_type <> 'error' then user_id end as deal
         from events""",
     "canonical_label": sql(
-        """select origem_lead,
-            case when lower(origem_lead) like '%gogle%' then 'Google Ads'
-                when lower(origem_lead) like '%face%' then 'Facebook Ads'
-                when lower(origem_lead) like '%linkedin%' then 'LinkedIn Ads'
-                else origem_lead end as label, count(*) as rows
+        f"""select origem_lead,
+            {_LABEL} as label, count(*) as rows
         from raw_costs group by 1, 2""",
         "raw_costs",
     ),
@@ -544,4 +559,49 @@ ORACLES: dict[str, str] = {
         "and (valid_to is null or valid_to > '2002-01-02 12:00:00')"
     ),
     "scd2_stored": _versions(),
+    # The third load holds every third record of the second, unchanged, so it makes no version.
+    "scd2_stored_new_column": sql(
+        f"""select id, stage, status, cast(value as double) as value, {day("opened_on")} as opened_on,
+            case when valid_from = '{standins.DAY_TWO}' then 'p' || (id % 7) end as priority,
+            md5(id || '|' || valid_from || '.000000') as scd_id, valid_from as updated_at,
+            valid_from, valid_to
+        from versions""",
+        "versions",
+    ),
+    "ratio_measures_wide": """
+        select l_orderkey, l_linenumber,
+            cast(cast(l_partkey as hugeint) * 125000000000000000 as decimal(38,9))::varchar as eighth,
+            cast(cast(l_suppkey as hugeint) * 250000000 as decimal(38,9))::varchar as by_nanos,
+            true as too_wide,
+            cast(cast(l_partkey as hugeint) * 10000000000 * (20000000000 + l_linenumber)
+                as decimal(38,9))::varchar as weighted
+        from lineitem""",
+    "load_report": """
+        select 'nations' as source_table, 'success' as status, count(*) as rows from nation
+        union all select 'parts', 'success', count(*) from part where p_partkey % 5 <> 0
+        union all values ('none', 'skipped', null), ('null_data', 'skipped', null),
+            ('absent', 'skipped', null), ('blank', 'skipped', null), ('absent_sheet', 'error', null)""",
+    "loaded_tables": """
+        select cast(p_partkey as varchar) as codigo, case when p_size > 10 then p_name end as nome_peca,
+            p_type as nome_peca_1, cast(null as varchar) as col_2a_via, 'pecas' as source_sheet,
+            '2002-01-01T06:00:00+00:00' as ingested_at
+        from part where p_partkey % 5 <> 0""",
+    "loaded_records": f"""
+        select cast(n_nationkey as bigint) as n_nationkey, n_name, {LOADED} as _ingested_at from nation""",
+    "layer_tables": f"""
+        select o_orderkey, o_totalprice as value, {day("date_trunc('month', o_orderdate)")} as month
+        from orders where year(o_orderdate) = 1995""",
+    "odd_seller_dim": sql("select * from odd_sellers", "odd_sellers"),
+    "odd_sales": sql(
+        """select deal_id, sk_vendedor, cast(valor_estimado as double) as valor_estimado
+        from odd_owners o left join (select * from odd_sellers where vendedor_id <> 7) s
+            on try_cast(o.owner as bigint) = s.vendedor_id""",
+        "odd_owners",
+        "odd_sellers",
+    ),
+    "odd_key_checks": sql(
+        """select vendedor_id, count(*) as rows from odd_sellers where vendedor_id is not null
+        group by 1 having count(*) > 1""",
+        "odd_sellers",
+    ),
 }

@@ -5,19 +5,20 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timezone
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesloom.functions import clean, measures
-from salesloom.functions.names import rename_columns
+from salesloom.functions.names import qualified_name, rename_columns, table_name
 from salesloom.operators import history, keys, shape
 from salesloom.operators.staging import shared_folder, stage
 from salesloom.plans import bronze, gold, silver
-from salesloom.sources import schemas
+from salesloom.sources import load, schemas
 from salesloom.sources.readers import read_api_envelope, read_grid, stamp, stringify_all
-from salesloom.sources.tables import land
+from salesloom.sources.tables import land, replace_table
 from workload import standins
 from workload.standins import cents, table
 
@@ -105,14 +106,14 @@ def _sales(spark, sf_dir, sellers, **options):
 @query
 def goals_vs_actuals(spark, sf_dir):
     sellers = stage(_sellers(spark, sf_dir), "sellers")
-    sales = _sales(spark, sf_dir, sellers)
+    sales = stage(_sales(spark, sf_dir, sellers), "sales")
     return gold.goals_vs_actuals(sales, _goal_fact(spark, sf_dir), sellers)
 
 
 @query
 def goals_vs_actuals_by_clean_name(spark, sf_dir):
     sellers = stage(_sellers(spark, sf_dir), "sellers")
-    sales = _sales(spark, sf_dir, sellers)
+    sales = stage(_sales(spark, sf_dir, sellers), "sales")
     goals = _goal_fact(spark, sf_dir)
     return gold.goals_vs_actuals(sales, goals, sellers, normalize_names=True)
 
@@ -291,6 +292,31 @@ def ratio_measures(spark, sf_dir):
     )
 
 
+@query
+def ratio_measures_wide(spark, sf_dir):
+    """Amounts far beyond what a double holds; results as text, so every digit counts."""
+    line = table(spark, sf_dir, "lineitem")
+    wide, one = "decimal(38,9)", F.lit(Decimal(1))
+    part, supplier = F.col("l_partkey").cast("decimal(18,0)"), F.col("l_suppkey").cast("decimal(18,0)")
+    number = F.col("l_linenumber").cast("bigint")
+    huge = (part * F.lit(Decimal(10**18))).cast(wide)
+    most = (one * F.lit(Decimal(10**19)) * F.lit(Decimal(10**9))).cast(wide)
+    return line.select(
+        "l_orderkey",
+        "l_linenumber",
+        measures.ratio(huge, F.lit(Decimal(8)).cast(wide)).cast("string").alias("eighth"),
+        measures.ratio(supplier.cast(wide), F.lit(Decimal("0.000000004")).cast(wide))
+        .cast("string")
+        .alias("by_nanos"),
+        measures.ratio(most, F.lit(Decimal("0.000000003")).cast(wide)).isNull().alias("too_wide"),
+        measures.weighted_value(
+            (part * F.lit(Decimal(10**12))).cast(wide), F.lit(20_000_000_000) + number
+        )
+        .cast("string")
+        .alias("weighted"),
+    )
+
+
 # -- keys ------------------------------------------------------------------------------------
 
 
@@ -487,6 +513,100 @@ def drop_blank_rows(spark, sf_dir):
     )
 
 
+def _exports(spark, sf_dir):
+    """Dumps and sheets made of the test tables, and sources that are absent or without rows."""
+    folder = _scratch(spark, "exports")
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    nations.write.json(f"{folder}/nations")
+    nations.where("n_nationkey < 0").select(F.lit(True).alias("success")).write.json(f"{folder}/none")
+    nothing = table(spark, sf_dir, "region").select(F.lit(None).cast("string").alias("data"))
+    nothing.write.option("ignoreNullFields", False).json(f"{folder}/null_data")
+    parts = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("Código"),
+        F.when(F.col("p_size") > 10, F.col("p_name")).alias("Nome (peça)"),
+        F.col("p_type").alias("nome  peça"),
+        F.lit(None).cast("string").alias("2ª via"),
+    )
+    blank = [F.when(F.col("Código") % 5 != 0, F.col(c)).alias(c) for c in parts.columns]
+    parts.select(*blank).write.option("header", True).csv(f"{folder}/parts")
+    parts.where("1 = 0").write.option("header", True).csv(f"{folder}/blank")
+    names = [f"{kind}_{uuid.uuid4().hex}" for kind in ("nations", "none", "null_data", "absent")]
+    sources = [
+        load.ApiSource(f"{folder}/{kind}", name, kind, "n_nationkey bigint, n_name string", True)
+        for kind, name in zip(("nations", "none", "null_data", "absent"), names)
+    ]
+    tabs = {kind: f"{kind} {uuid.uuid4().hex}" for kind in ("parts", "blank", "absent sheet")}
+    sources.append(
+        load.GridSource("Peças", tuple((t, f"{folder}/{kind}") for kind, t in tabs.items()), False)
+    )
+    report = load.run_sources(spark, sources, _scratch(spark, "lake"), _moment(standins.LOADED_AT))
+    return report, {kind: table_name(t) for kind, t in tabs.items()} | {"nations": names[0]}
+
+
+@query
+def load_report(spark, sf_dir):
+    """One row per source: what was loaded, skipped or failed, and how many rows."""
+    report, _ = _exports(spark, sf_dir)
+    kind = F.regexp_replace("table", "_[0-9a-f]{32}$", "")
+    return report.select(kind.alias("source_table"), "status", "rows")
+
+
+@query
+def loaded_tables(spark, sf_dir):
+    """The staging table of a sheet: blank rows gone, names clean and distinct, every cell text."""
+    _, tables = _exports(spark, sf_dir)
+    return spark.table(f"staging.{tables['parts']}")
+
+
+@query
+def loaded_records(spark, sf_dir):
+    """The staging table of an API dump, by way of the raw zone."""
+    _, tables = _exports(spark, sf_dir)
+    return spark.table(f"staging.{tables['nations']}")
+
+
+@query
+def layer_tables(spark, sf_dir):
+    """A table of a layer, refreshed twice and split by month; one year of months is read."""
+    name = f"orders_{uuid.uuid4().hex}"
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.col("o_totalprice").alias("value"),
+        measures.month_of(F.col("o_orderdate")).alias("month"),
+    )
+    replace_table(orders.where("o_orderkey % 2 = 0"), " silver ", name, ["month"])
+    replace_table(orders, "silver", name, ["month"])
+    stored = spark.table(qualified_name(" silver ", name))
+    return stored.where(F.col("month").between(F.lit("1995-01-01").cast("date"), F.lit("1995-12-01").cast("date")))
+
+
+# -- odd sellers ------------------------------------------------------------------------------
+
+
+@query
+def odd_seller_dim(spark, sf_dir):
+    """Deals without an owner, owners whose id is no number, and one spelled in two ways."""
+    return silver.seller_dim(standins.odd_deals(spark, sf_dir))
+
+
+@query
+def odd_sales(spark, sf_dir):
+    """Deals that find no seller, one seller, or two spellings of one."""
+    sellers = stage(silver.seller_dim(standins.odd_deals(spark, sf_dir)), "sellers")
+    known = sellers.where(F.col("vendedor_id").isNull() | (F.col("vendedor_id") != 7))
+    deals = standins.odd_deals(spark, sf_dir)
+    owners = deals.withColumn("owner_id", clean.safe_int(F.col("owner_id")))
+    fact = silver.sales_fact(bronze.stg_crm_deals(owners), known, _companies(spark, sf_dir), _as_of())
+    return fact.select("deal_id", "sk_vendedor", "valor_estimado")
+
+
+@query
+def odd_key_checks(spark, sf_dir):
+    """Sellers with more than one row, and owners of deals that are no seller."""
+    sellers = silver.seller_dim(standins.odd_deals(spark, sf_dir))
+    return keys.duplicate_keys(sellers.where(F.col("vendedor_id").isNotNull()), ["vendedor_id"])
+
+
 # -- history ---------------------------------------------------------------------------------
 
 CHECKED = ("stage", "status", "value")
@@ -537,3 +657,18 @@ def scd2_stored(spark, sf_dir):
     ):
         history.update_history(spark, path, records, "id", CHECKED, _moment(moment), first)
     return history.read_history(spark, path)
+
+
+@query
+def scd2_stored_new_column(spark, sf_dir):
+    """The source gains a column with the second load; older versions show NULL there."""
+    path = _scratch(spark, "history")
+    later = standins.records_day_two(spark, sf_dir)
+    later = later.withColumn("priority", F.concat(F.lit("p"), F.col("id") % 7))
+    for moment, records, first in (
+        (standins.DAY_ONE, standins.records_day_one(spark, sf_dir), True),
+        (standins.DAY_TWO, later, False),
+        (standins.DAY_THREE, later.where("id % 3 = 0").drop("priority"), False),
+    ):
+        history.update_history(spark, path, records, "id", CHECKED, _moment(moment), first)
+    return history.read_history(spark, path)

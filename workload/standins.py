@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 AS_OF = "2002-01-01 12:00:00"
 LOADED_AT = "2002-01-01 06:00:00"
-DAY_ONE, DAY_TWO = "2002-01-02 00:00:00", "2002-01-03 00:00:00"
+DAY_ONE, DAY_TWO, DAY_THREE = "2002-01-02 00:00:00", "2002-01-03 00:00:00", "2002-01-04 00:00:00"
 DAY_ONE_ENDS = "2001-01-01"
 
 
@@ -89,6 +89,18 @@ def crm_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def odd_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deals with owner ids as text: some missing, some no number, and one seller whose name is
+    written in two ways."""
+    number, owner = F.col("stage_id"), F.col("owner_id")
+    order = F.regexp_substr("id", F.lit(r"\d+")).cast("bigint")
+    name = F.when((owner == 3) & (number == 2), F.upper("owner_name")).otherwise(F.col("owner_name"))
+    text = F.when(owner == 5, F.concat(F.lit("x"), owner)).otherwise(owner.cast("string"))
+    return crm_deals(spark, sf_dir).withColumns(
+        {"owner_name": name, "owner_id": F.when(order % 11 != 0, text)}
+    )
+
+
 def crm_organizations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "customer").join(
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
