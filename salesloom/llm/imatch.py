@@ -101,56 +101,87 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     )
 
 
-def _subsets(terms: Column, level: Column) -> Column:
-    """Hash of the sorted terms in each of the first subsets of a level, '' where there are none."""
-    cells = F.pow(F.lit(2.0), level).cast("long")
-    drawn = F.filter(terms, lambda t: t["draw"] % cells < SUBSETS)
+# Expressions below are columns of their own, level by level, and each is used at least twice: Spark
+# then computes it once and does not move it into the loops that use it.
 
-    def hashed(cell: Column) -> Column:
-        inside = F.filter(drawn, lambda t: t["draw"] % cells == cell)
-        joined = F.array_join(F.transform(inside, lambda t: t["term"]), " ")
-        return F.when(F.size(inside) == 0, F.lit("")).otherwise(F.substring(F.md5(joined.cast("binary")), 1, 6))
 
-    return F.transform(F.sequence(F.lit(0).cast("long"), F.least(cells, F.lit(SUBSETS).cast("long")) - 1), hashed)
+def _level(terms: Column) -> Column:
+    """The level with one or two terms per subset; null without terms."""
+    return F.when(F.size(terms) > 0, F.floor(F.log2(F.size(terms))).cast("int"))
 
 
-def _fingerprint(terms: Column, whole: Column) -> Column:
-    """Struct of level (null without terms), the subsets' hashes there and one level finer, and the whole hash."""
-    level = F.when(F.size(terms) > 0, F.floor(F.log2(F.size(terms))).cast("int"))
-    return F.struct(
-        level.alias("level"),
-        F.when(level.isNotNull(), _subsets(terms, level)).alias("coarse"),
-        F.when(level.isNotNull(), _subsets(terms, level + 1)).alias("fine"),
-        whole.alias("whole"),
+def _drawn(terms: Column, level: Column) -> Column:
+    """The terms that fall into the first subsets of a level, each after its subset's number, sorted."""
+    cells = F.pow(F.lit(2.0), level).cast("long")
+    inside = F.filter(terms, lambda t: t["draw"] % cells < SUBSETS)
+    return F.sort_array(
+        F.transform(inside, lambda t: F.struct((t["draw"] % cells).alias("cell"), t["term"].alias("term")))
     )
 
 
-def as_text(fingerprint: Column) -> Column:
-    """The fingerprint as one string."""
-    return F.when(fingerprint["level"].isNull(), F.concat(F.lit("-:"), fingerprint["whole"])).otherwise(
+def _hashes(drawn: Column, level: Column) -> Column:
+    """Hash of the sorted terms in each of the first subsets of a level, '' where there are none."""
+    n = F.least(F.pow(F.lit(2.0), level), F.lit(float(SUBSETS))).cast("int")
+
+    def joined(cell: Column) -> Column:
+        inside = F.filter(drawn, lambda t: t["cell"] == cell)
+        return F.array_join(F.transform(inside, lambda t: t["term"]), " ")
+
+    def hashed(text: Column) -> Column:
+        return F.when(text == "", "").otherwise(F.substring(F.md5(text.cast("binary")), 1, 6))
+
+    every = F.transform(F.sequence(F.lit(0), n - 1), joined)
+    return F.when(level.isNull() | drawn.isNull(), None).otherwise(F.transform(every, hashed))
+
+
+def _part(of: str, name: str) -> Column:
+    return F.col(f"{of}_{name}")
+
+
+def as_text(of: str) -> Column:
+    """The fingerprint whose columns begin with ``of`` as one string."""
+    return F.when(_part(of, "level").isNull(), F.concat(F.lit("-:"), _part(of, "whole"))).otherwise(
         F.concat_ws(
             ":",
-            fingerprint["level"].cast("string"),
-            F.array_join(fingerprint["coarse"], ","),
-            F.array_join(fingerprint["fine"], ","),
+            _part(of, "level").cast("string"),
+            F.array_join(_part(of, "coarse"), ","),
+            F.array_join(_part(of, "fine"), ","),
         )
     )
 
 
-def likeness(a: Column, b: Column) -> Column:
+def likeness(a: str, b: str) -> Column:
     """How like two fingerprints are, 0 to 1."""
-    here = F.when(a["level"] > b["level"], a["coarse"]).when(a["level"] < b["level"], a["fine"]).otherwise(a["coarse"])
-    there = F.when(a["level"] > b["level"], b["fine"]).otherwise(b["coarse"])
+    p, q = _part(a, "level"), _part(b, "level")
+    here = F.when(p < q, _part(a, "fine")).otherwise(_part(a, "coarse"))
+    there = F.when(p > q, _part(b, "fine")).otherwise(_part(b, "coarse"))
     pairs = F.zip_with(here, there, lambda x, y: F.when(x != y, 0).when(x == "", 1).otherwise(2))
-    n = F.size(here).cast("double")
-    equal = F.size(F.filter(pairs, lambda p: p > 0)) / n
-    empty = F.greatest(F.size(F.filter(pairs, lambda p: p == 1)) / n, F.lit(0.5) / n)
+    # (subsets, equal ones, those empty in both) in one pass
+    counts = F.aggregate(
+        pairs,
+        F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("equal"), F.lit(0.0).alias("empty")),
+        lambda c, x: F.struct(
+            (c["n"] + 1).alias("n"),
+            (c["equal"] + (x > 0).cast("double")).alias("equal"),
+            (c["empty"] + (x == 1).cast("double")).alias("empty"),
+        ),
+        lambda c: F.struct(
+            (c["equal"] / c["n"]).alias("equal"),
+            (F.greatest(c["empty"] / c["n"], F.lit(0.5) / c["n"])).alias("empty"),
+        ),
+    )
+
+    def of(c: Column) -> Column:
+        return (
+            F.when(c["equal"] == 1, F.lit(1.0))
+            .when(c["equal"] <= c["empty"], F.lit(0.0))
+            .otherwise(1 - F.log(c["equal"]) / F.log(c["empty"]))
+        )
+
     found = (
-        F.when(a["level"].isNull() | b["level"].isNull(), (a["whole"] == b["whole"]).cast("double"))
-        .when(F.abs(a["level"] - b["level"]) > 1, F.lit(0.0))
-        .when(equal == 1, F.lit(1.0))
-        .when(equal <= empty, F.lit(0.0))
-        .otherwise(1 - F.log(equal) / F.log(empty))
+        F.when(p.isNull() | q.isNull(), (_part(a, "whole") == _part(b, "whole")).cast("double"))
+        .when(F.abs(p - q) > 1, F.lit(0.0))
+        .otherwise(F.element_at(F.transform(F.array(counts), of), 1))
     )
     return F.coalesce(F.round(found, 6), F.lit(0.0))
 
@@ -167,6 +198,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.expr("left(text, length(text) - cast(floor(length(text) / 4) AS INT))"), F.substring("next_text", F.lit(1), quarter))
     texts = with_next(docs, id_col, text_col).withColumn("edited", F.coalesce(edited, F.lit("")))
+    # digests are taken before texts are cut into terms: after that, they would be taken for every term
     rows = texts.select(
         "bucket",
         "place",
@@ -176,35 +208,45 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         F.md5(F.col("text").cast("binary")).alias("whole"),
         F.md5(F.col("edited").cast("binary")).alias("edited_whole"),
-        F.explode(
-            F.concat(
-                F.transform(terms_of(F.col("text")), lambda t: F.struct(F.lit(0).alias("kind"), t.alias("term"))),
-                F.transform(terms_of(F.col("edited")), lambda t: F.struct(F.lit(1).alias("kind"), t.alias("term"))),
-                # keeps documents without lexicon terms
-                F.array(F.struct(F.lit(2).alias("kind"), F.lit("").alias("term"))),
-            )
-        ).alias("at"),
-    ).select("*", "at.kind", "at.term").drop("at")
+        F.concat(
+            F.transform(terms_of(F.col("text")), lambda t: F.struct(F.lit(0).alias("kind"), t.alias("term"))),
+            F.transform(terms_of(F.col("edited")), lambda t: F.struct(F.lit(1).alias("kind"), t.alias("term"))),
+            # keeps documents without lexicon terms
+            F.array(F.struct(F.lit(2).alias("kind"), F.lit("").alias("term"))),
+        ).alias("terms"),
+    )
+    rows = rows.withColumn("at", F.explode("terms")).select("*", "at.kind", "at.term").drop("at", "terms")
     known = rows.join(lexicon, "term", "left").where("draw IS NOT NULL OR kind = 2")
 
     def terms(kind: int) -> Column:
         return F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.struct("term", "draw"))))
 
-    keys = ["bucket", "place", "guest", "doc_id", "n_chars", "edited_sha256", "whole", "edited_whole"]
-    grouped = known.groupBy(*keys).agg(terms(0).alias("own_terms"), terms(1).alias("edited_terms"))
-    printed = grouped.select(
-        *keys,
-        _fingerprint(F.col("own_terms"), F.col("whole")).alias("own"),
-        _fingerprint(F.col("edited_terms"), F.col("edited_whole")).alias("edited"),
+    kept = ["guest", "doc_id", "n_chars", "edited_sha256", "whole", "edited_whole"]
+    grouped = known.groupBy("bucket", "place").agg(
+        *[F.first(c).alias(c) for c in kept], terms(0).alias("own_terms"), terms(1).alias("edited_terms")
     )
+    printed = grouped.withColumnRenamed("whole", "own_whole")
+    for step in (
+        lambda of: {f"{of}_level": _level(_part(of, "terms"))},
+        lambda of: {
+            f"{of}_drawn": _drawn(_part(of, "terms"), _part(of, "level")),
+            f"{of}_finer": _drawn(_part(of, "terms"), _part(of, "level") + 1),
+        },
+        lambda of: {
+            f"{of}_coarse": _hashes(_part(of, "drawn"), _part(of, "level")),
+            f"{of}_fine": _hashes(_part(of, "finer"), _part(of, "level") + 1),
+        },
+    ):
+        printed = printed.withColumns(step("own") | step("edited"))
     along = Window.partitionBy("bucket").orderBy("place")
-    printed = printed.withColumn("next", F.lead("own").over(along)).where(~F.col("guest"))
-    return printed.select(
+    parts = ("level", "coarse", "fine", "whole")
+    printed = printed.withColumns({f"next_{x}": F.lead(f"own_{x}").over(along) for x in parts})
+    return printed.where(~F.col("guest")).select(
         "doc_id",
         "n_chars",
         "edited_sha256",
-        as_text(F.col("own")).alias("fingerprint"),
-        as_text(F.col("edited")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("edited")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next")).alias("near_next"),
+        as_text("own").alias("fingerprint"),
+        as_text("edited").alias("edited_fingerprint"),
+        likeness("own", "edited").alias("near_edited"),
+        likeness("own", "next").alias("near_next"),
     )
