@@ -19,9 +19,11 @@ Other columns are ignored. No rows give no rows.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from hashlib import sha256
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -127,45 +129,46 @@ class Emitter:
 
     def __init__(self, tokenizer: Tokenizer):
         self.tokenizer = tokenizer
-        self.known: dict[tuple[str, str], tuple[list[int], int, int]] = {}
-
-    def node(self, role: str, text: str) -> tuple[list[int], int, int]:
-        """Token ids of a turn, and where its text begins and ends in them."""
-        key = (role, text)
-        if key not in self.known:
-            if len(self.known) > 10_000:
-                self.known = {}
-            head = f"{BEGIN}{escape_role(role)}{ROLE_END}"
-            a, b, c = (e.ids for e in self.tokenizer.encode_batch([head, escape(text), END], add_special_tokens=False))
-            self.known[key] = a + b + c, len(a), len(a) + len(b)
-        return self.known[key]
-
-    def stream(self, leaves: list[tuple[bytes, list[str], list[dict]]]) -> tuple:
+
+    def node(self, role: str, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of a turn, and which of them are learnt from."""
+        head = f"{BEGIN}{escape_role(role)}{ROLE_END}"
+        parts = self.tokenizer.encode_batch([head, escape(text), END], add_special_tokens=False)
+        sizes = [len(e.ids) for e in parts]
+        ids = np.fromiter((i for e in parts for i in e.ids), np.int32, sum(sizes))
+        loss = np.zeros(len(ids), bool)
+        loss[sizes[0] : sizes[0] + sizes[1]] = role == LEARNT
+        return ids, loss
+
+    def stream(self, leaves: list[tuple[bytes, list[str], list[dict]]]) -> pa.RecordBatch:
         """One row of ``STREAMS`` for leaves (leaf, path, turns) of a shard."""
         ids, positions, loss, nodes, ends = [], [], [], [], []
         stack: list[tuple[str, int]] = []  # the path to the last node: (prefix, its index)
+        end = 0
         for leaf, path, turns in sorted(leaves, key=lambda x: x[1]):
             same = 0
             while same < min(len(stack), len(path)) and stack[same][0] == path[same]:
                 same += 1
             del stack[same:]
             for prefix, turn in zip(path[same:], turns[same:]):
-                tokens, begin, end = self.node(turn["role"], turn["text"])
-                above = [nodes[i] for _, i in stack]
-                first = sum(n["stop"] - n["start"] for n in above)
-                start = len(ids)
-                ids += tokens
-                positions += range(first, first + len(tokens))
-                learnt = turn["role"] == LEARNT
-                loss += [learnt and begin <= i < end for i in range(len(tokens))]
+                tokens, learnt = self.node(turn["role"], turn["text"])
+                ancestors = [{k: nodes[i][k] for k in ("start", "stop")} for _, i in stack]
+                first = sum(a["stop"] - a["start"] for a in ancestors)
+                start, end = end, end + len(tokens)
+                ids.append(tokens)
+                positions.append(np.arange(first, first + len(tokens), dtype=np.int32))
+                loss.append(learnt)
                 stack.append((prefix, len(nodes)))
-                ancestors = [{"start": n["start"], "stop": n["stop"]} for n in above]
-                nodes.append({"start": start, "stop": len(ids), "position": first, "ancestors": ancestors})
+                nodes.append({"start": start, "stop": end, "position": first, "ancestors": ancestors})
             ends.append({"leaf": leaf, "node": stack[-1][1]})
-        return ids, positions, loss, nodes, ends
+        flat = [pa.array(np.concatenate(x)) for x in (ids, positions, loss)]
+        columns = [pa.ListArray.from_arrays(pa.array([0, end], pa.int32()), x) for x in flat]
+        columns += [pa.array([nodes], _STREAM.field("nodes").type), pa.array([ends], _STREAM.field("leaves").type)]
+        return pa.RecordBatch.from_arrays(columns, schema=_STREAM)
 
 
 def _load(path: str) -> Tokenizer:
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task per core
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
     return tokenizer
@@ -182,15 +185,16 @@ def streams(leaves: DataFrame, tokenizer: str) -> DataFrame:
         emit = Emitter(_load(tokenizer))
         shard, held = None, []
         for batch in batches:
-            done = []
-            for name, leaf, path, turns in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and name != shard:
-                    done.append(emit.stream(held))
-                    held = []
-                shard = name
-                held.append((leaf, path, turns))
-            yield _batch(done)
-        yield _batch([emit.stream(held)] if held else [])
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                for name, leaf, path, turns in zip(*(c.to_pylist() for c in part.columns)):
+                    if held and name != shard:
+                        yield emit.stream(held)
+                        held = []
+                    shard = name
+                    held.append((leaf, path, turns))
+        if held:
+            yield emit.stream(held)
 
     return (
         leaves.select("shard", "leaf", "path", "turns")
@@ -200,11 +204,6 @@ def streams(leaves: DataFrame, tokenizer: str) -> DataFrame:
     )
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = zip(*rows) if rows else [[]] * len(_STREAM)
-    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, _STREAM)], schema=_STREAM)
-
-
 def read_turn(text: str) -> tuple[str, str]:
     """(role, text) of a formatted turn."""
     if not (text.startswith(BEGIN) and text.endswith(END)):
@@ -230,16 +229,17 @@ def read_back(trees: DataFrame, tokenizer: str) -> DataFrame:
         decode = _load(tokenizer).decode
         for batch in batches:
             for i in range(batch.num_rows):
-                tree = batch.slice(i, 1).to_pylist()[0]
-                ids, loss, nodes = tree["ids"], tree["loss"], tree["nodes"]
+                row = {name: batch.column(name)[i] for name in ("ids", "loss", "nodes", "leaves")}
+                ids, loss = (np.asarray(row[name].values) for name in ("ids", "loss"))
+                nodes, leaves = row["nodes"].as_py(), row["leaves"].as_py()
                 texts, learnt = [], []
                 for n in nodes:
                     tokens, mask = ids[n["start"] : n["stop"]], loss[n["start"] : n["stop"]]
-                    texts.append(decode(tokens, skip_special_tokens=False))
-                    learnt.append(unescape(decode([t for t, m in zip(tokens, mask) if m], skip_special_tokens=False)))
+                    texts.append(decode(tokens.tolist(), skip_special_tokens=False))
+                    learnt.append(unescape(decode(tokens[mask].tolist(), skip_special_tokens=False)))
                 at = {n["start"]: k for k, n in enumerate(nodes)}
                 rows = []
-                for leaf in tree["leaves"]:
+                for leaf in leaves:
                     node = nodes[leaf["node"]]
                     path = [at[a["start"]] for a in node["ancestors"]] + [leaf["node"]]
                     turns = "".join("%s\n%s\n" % read_turn(texts[k]) for k in path)
