@@ -88,3 +88,54 @@ def test_job(spark, folder):
     ]
     assert read_history(spark, f"{lake}/snapshots/crm_deals").count() == 3
     assert spark.table("staging.territorios_segmentos").columns[0] == "territorio"
+
+
+def test_options_reach_the_marts(spark, folder):
+    os.makedirs(f"{folder}/crm")
+    os.makedirs(f"{folder}/sheets")
+    spelled = [*DEALS, deal(4, (502, "ANA COSTA"), "won", 10, "Webinar", won_time="2024-01-15T09:00:00Z")]
+    for name, data in {
+        "crm_deals": spelled, "crm_organizations": ORGANIZATIONS, "crm_contacts": [{"id": 1}],
+        "crm_activities": [{"id": "activity_7"}],
+    }.items():
+        with open(f"{folder}/crm/{name}_response.json", "w", encoding="utf-8") as file:
+            for record in data:
+                file.write(json.dumps(record) + "\n")
+    extra = SHEETS | {"metas_vendedores_v2": SHEETS["metas_vendedores_v2"] + 'FANTASMA,01/01/2024,"R$ 7,00",1,"5,0%"\n'}
+    for name, text in extra.items():
+        with open(f"{folder}/sheets/{name}.csv", "w", encoding="utf-8") as file:
+            file.write(text)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    assert main([
+        "--crm", f"{folder}/crm", "--sheets", f"{folder}/sheets", "--lake", f"{folder}/lake2", "--lines",
+        "--as-of", "2024-02-05T00:00:00", "--no-line-breaks", "--normalize-names", "--include-goal-only",
+        "--group-casefold", "--day-mode", "calendar", "--money-text",
+    ]) == 0
+    assert spark.conf.get("spark.sql.session.timeZone") == before
+    marts = spark.table("gold.agg_meta_vs_realizado")
+    got = {(r.nome_vendedor, float(r.meta_faturamento)) for r in marts.collect()}
+    assert ("João Silva", 10000.0) in got or ("João Silva", 100.0) in got
+    assert ("Fantasma", 7.0) in got
+    assert {r.nome_vendedor for r in spark.table("silver.dim_vendedores").collect()} == {
+        "Ana Costa", "ANA COSTA", "João Silva", "Fantasma"
+    }
+    channels = [r.canal for r in spark.table("gold.agg_performance_marketing").collect()]
+    assert sorted(channels) == ["google ads", "webinar"]
+    checks = {(r.table, r.check, r.key, r.value, r.rows) for r in spark.table("gold.key_checks").collect()}
+    assert ("dim_vendedores", "repeated", "vendedor_id", "502", 2) in checks
+    assert ("stg_crm_deals", "not in dim_organizacoes", "organizacao_id", "99", 1) in checks
+    months = spark.sql("DESCRIBE TABLE EXTENDED gold.agg_meta_vs_realizado").collect()
+    assert any(r.col_name == "# Partition Information" for r in months)
+
+
+def test_other_time_zones_are_refused(spark):
+    import pytest
+
+    from salesloom.plans.build import build_tables
+
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            build_tables(spark)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -166,3 +166,68 @@ def test_landing_failures_stop_the_job(spark, folder):
     blocked = put(folder, "a_file", "x")
     with pytest.raises(Exception):
         load.run_sources(spark, [load.ApiSource(good, "t", "e", LAYOUT)], blocked, RUN)
+
+
+def test_a_bad_second_load_leaves_raw_zone_and_table(spark, folder):
+    lake = f"{folder}/lake"
+    dump = put(folder, "dump.jsonl", "\n".join(json.dumps(r) for r in RECORDS))
+    source = load.ApiSource(dump, "kept", "kept", LAYOUT, lines=True)
+    assert load.load_api(spark, source, lake, RUN)[2:4] == ("success", 2)
+    for bad in ('{"id": "c"}\n{"id": ', '{"success": true, "data": []}', '{"data": null}'):
+        put(folder, "dump.jsonl", bad)
+        assert load.load_api(spark, source, lake, RUN)[2] == "skipped"
+        assert ids(spark.read.json(f"{lake}/raw/crm/kept/ingest_date=2024-01-30")) == ["a", "b"]
+        assert ids(spark.table("staging.kept")) == ["a", "b"]
+    assert sorted(os.listdir(f"{lake}/raw/crm/kept")) == ["ingest_date=2024-01-30"]
+
+
+def test_a_document_without_any_field_is_no_record(spark, folder):
+    path = put(folder, "null.json", {"data": None})
+    assert readers.read_api_envelope(spark, path, LAYOUT).isEmpty()
+
+
+def test_cells_beyond_the_header_are_an_error(spark, folder):
+    put(f"{folder}/wide", "a.csv", "nome,mes\nana,2024-01-01,EXTRA\n")
+    tab = load.load_tab(spark, "s", "aba larga", f"{folder}/wide", RUN, False)
+    assert tab[2] == "error" and "EXTRA" in tab[4] and not spark.catalog.tableExists("staging.aba_larga")
+    put(f"{folder}/trailing", "a.csv", "nome,mes\nana,2024-01-01,,\nbia\n")
+    rows = [tuple(r) for r in readers.read_grid(spark, f"{folder}/trailing").collect()]
+    assert rows == [("ana", "2024-01-01"), ("bia", None)]
+
+
+def test_files_with_other_headers_are_refused(spark, folder):
+    put(f"{folder}/both", "a.csv", "vendedor,mes\nana,1\n")
+    put(f"{folder}/both", "b.csv", "mes,vendedor\n1,ana\n")
+    with pytest.raises(readers.HeaderMismatch, match="mes"):
+        readers.read_grid(spark, f"{folder}/both")
+    assert load.load_tab(spark, "s", "duas", f"{folder}/both", RUN, True)[2] == "error"
+
+
+def test_no_reader_deals_rows_out_unasked(spark, folder):
+    path = put(folder, "x.json", {"data": RECORDS})
+    grid = put(folder, "x.csv", "a,b\n1,2\n")
+    for df in (readers.read_api_envelope(spark, path, LAYOUT), readers.read_grid(spark, grid)):
+        assert "REPARTITION_BY_NUM" not in df._jdf.queryExecution().executedPlan().toString()
+    assert readers.read_grid(spark, grid, partitions=3).rdd.getNumPartitions() == 3
+
+
+def test_a_refresh_never_takes_the_table_away(spark, monkeypatch):
+    tables.replace_table(spark.range(3).toDF("n"), "there", "t")
+    statements, real = [], type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, q, *a, **b: (statements.append(q), real(self, q, *a, **b))[1])
+    tables.replace_table(spark.range(4).toDF("n"), "there", "t")
+    assert not any("DROP" in s for s in statements) and spark.table("there.t").count() == 4
+    assert tables.replace_table(spark.range(0).toDF("n"), "there", "t", keep_if_empty=True) == 0
+    assert spark.table("there.t").count() == 4
+    tables.replace_table(spark.range(2).toDF("m"), "there", "t")
+    assert spark.table("there.t").columns == ["m"]
+
+
+def test_a_table_split_by_month_is_read_by_month(spark, capsys):
+    months = spark.range(100).selectExpr("id", "add_months(date'2024-01-01', cast(id % 5 as int)) as month")
+    for _ in range(2):
+        tables.replace_table(months, "split", "by_month", ["month"])
+    one = spark.table("split.by_month").where("month = date'2024-03-01'")
+    assert one.count() == 20
+    one.explain()
+    assert "PartitionFilters: [isnotnull(month" in capsys.readouterr().out
