@@ -119,8 +119,9 @@ def with_shards(leaves: DataFrame, most: int = LEAVES) -> DataFrame:
     child = F.coalesce(F.get("path", F.col("cut.depth") + 1), F.col("cut.prefix"))
     deals = F.ceil(F.col("cut.below") / most)
     cut = F.concat_ws("/", F.col("cut.prefix"), F.pmod(F.xxhash64(child), deals).cast("string"))
+    whole_tree = F.get("path", F.lit(0))
     return leaves.join(deepest, "leaf", "left").select(
-        "leaf", "turns", "path", F.coalesce(cut, F.get("path", F.lit(0))).alias("shard")
+        "leaf", "turns", "path", F.when(F.col("cut").isNull(), whole_tree).otherwise(cut).alias("shard")
     )
 
 

@@ -9,8 +9,12 @@ from salesloom.operators.staging import stage
 
 
 def _least_neighbour(edges: DataFrame) -> DataFrame:
-    """Edges with the least node that touches ``u``; combined before the shuffle, so hubs are cheap."""
-    least = edges.groupBy("u").agg(F.min("v").alias("least"))
+    """Edges with the least node that touches ``u``.
+
+    Minima are combined before the shuffle. They are stored, so that the join shuffles both sides by
+    itself and adaptive execution can split the edges of a hub.
+    """
+    least = stage(edges.groupBy("u").agg(F.min("v").alias("least")), "component_least")
     return edges.join(least, "u")
 
 
@@ -31,12 +35,13 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     mark = None
     for _ in range(rounds):
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (
+        large = stage(
             _least_neighbour(both)
             .where("v > u")
             .select(F.col("v").alias("u"), F.least("u", "least").alias("v"))
             .where("u != v")
-            .distinct()
+            .distinct(),
+            "component_large",
         )
         small = _least_neighbour(large)
         small = small.select("u", F.col("least").alias("v")).unionAll(

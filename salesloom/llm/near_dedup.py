@@ -123,6 +123,8 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
                 yield _batch(rows, _SETS)
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    # the same join at every size: what is wanted grows with the texts
+    wanted = wanted.hint("merge")
     met = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"]))
     return met.select("text", "class", "root", "blocks", "own").mapInArrow(
         run, "class binary, root binary, blocks int, own int, shingles binary, registers binary"

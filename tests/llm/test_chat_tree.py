@@ -58,6 +58,12 @@ def test_large_trees_are_cut(spark, monkeypatch):
     assert got.count() == 200 and got.select("loss_sha256").distinct().count() == 200
 
 
+def test_every_first_turn_is_a_tree(spark):
+    rows = [(c, t, "user", f"{c % 7} {t}") for c in range(40) for t in range(2)]
+    trees, members = chat_tree.format_conversations(frame(spark, rows), TOKENIZER)
+    assert trees.count() == 7 and members.count() == 40
+
+
 def test_odd_rows(spark):
     rows = [
         (1, 0, None, None), (2, None, "assistant", "<turn>\\"), (2, 1, "assistant", "</turn>\n"), (None, 5, "u\nser", ""),
