@@ -26,12 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.llm.common import ship
-from salesloom.llm.words import WordIds
+from salesloom.llm.words import WordIds, blocks
 
 #: Tokens per window, the id that ends a document, and the windows that may be open at once.
 WINDOW = 4096
 END_ID = 2
 MAX_OPEN = 256
+#: Bytes of text encoded at once.
+BLOCK = 4 << 20
 #: Sequence ids of a partition start at its number times this.
 PER_PARTITION = 1 << 33
 
@@ -155,10 +157,9 @@ def pack(
         words = WordIds(tokenizer)
         packer = Packer(window, max_open, TaskContext.get().partitionId() * PER_PARTITION)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                for doc_id, ids in zip(part.column(0).to_pylist(), words.encode(texts)):
+            for at, stop in blocks(batch.column(1), BLOCK):
+                part = batch.slice(at, stop - at)
+                for doc_id, ids in zip(part.column(0).to_pylist(), words.encode(part.column(1))):
                     packer.add(doc_id, ids + end)
                 yield packer.take()
         packer.finish()

@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 import os
-import re
 import string
 import sys
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-_WORDS = re.compile(r"[^ \t-\r]+").findall
-#: ``str.split`` cuts at these as well, the tokenizer does not.
-_SEPARATORS = re.compile("[\x1c-\x1f]").search
 _MARKS = string.punctuation
 #: Letters below this are composed and have lower-case forms of one letter.
 LATIN_END = "\u0250"
@@ -26,9 +25,15 @@ _BYTE_SIGNS = {b: chr(b) for b in _SIGNS} | {b: chr(256 + i) for i, b in enumera
 REMEMBERED = 1_000_000
 
 
-def words_of(text: str) -> list[str]:
-    """Words between white space."""
-    return _WORDS(text) if _SEPARATORS(text) else text.split()
+def blocks(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``size`` bytes of text each, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield at, stop
+        at = stop
 
 
 class WordIds:
@@ -47,7 +52,7 @@ class WordIds:
         self.plain = all(
             self._merged(w) == self.tokenizer.encode(w, add_special_tokens=False).ids for w in _PROBES
         )
-        self.ids: dict[str, bytes] = {}
+        self.ids: dict[str, bytes] = {"": b""}
 
     def _merged(self, word: str) -> list[int]:
         """Ids of a word that needs no normalising and no splitting: the model's merges alone."""
@@ -55,16 +60,32 @@ class WordIds:
             word = "".join([_BYTE_SIGNS[b] for b in word.encode()])
         return [token.id for token in self.tokenizer.model.tokenize(word)]
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        split = [words_of(t) for t in texts]
-        new = set().union(*split).difference(self.ids)
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of each text; null counts as empty.
+
+        Words are split off and numbered by Arrow, so that Python sees each distinct word of a batch
+        once; numpy then puts their ids in the places of the words.
+        """
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():
+            texts = pc.ascii_lower(texts)  # the tokenizer does so too, but after special tokens
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        numbered = split.flatten().dictionary_encode()
+        words = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = set(words).difference(self.ids)
         if len(self.ids) + len(new) > self.remembered:
-            self.ids = {}
-            new = set().union(*split)
+            self.ids = {"": b""}
+            new = set(words).difference(self.ids)
         self._learn(new)
-        known = self.ids.__getitem__
-        for words in split:
-            yield b"".join(map(known, words))
+        ids = [self.ids[w] for w in words]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        pool, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        order = numbered.indices.to_numpy()
+        each = sizes[order]
+        ends = np.concatenate(([0], np.cumsum(each)))
+        flat = pool[np.arange(ends[-1]) + np.repeat(starts[order] - ends[:-1], each)]
+        bounds = split.offsets.to_numpy()
+        for a, b in zip(*(ends[x - bounds[0]] for x in (bounds[:-1], bounds[1:]))):
+            yield flat[a:b].tobytes()
 
     def _learn(self, words: set[str]) -> None:
         """Encode ``words``; those that differ in case or in marks at the end share their stem's ids."""

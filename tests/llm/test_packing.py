@@ -3,13 +3,14 @@
 import numpy as np
 import oracle
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from salesloom.llm import packing
-from salesloom.llm.words import WordIds, words_of
+from salesloom.llm.words import WordIds
 
 SF = f"{oracle.TESTDATA}/sf0.001"
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -100,7 +101,7 @@ HARD = [
 @pytest.mark.parametrize("text", HARD)
 def test_hard_words(text):
     expected = Tokenizer.from_file(TOKENIZER).encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(next(WordIds(TOKENIZER).encode([text])), "<u4").tolist() == expected
+    assert np.frombuffer(next(WordIds(TOKENIZER).encode(pa.array([text]))), "<u4").tolist() == expected
 
 
 def test_any_words():
@@ -109,7 +110,7 @@ def test_any_words():
     @settings(max_examples=300, deadline=None)
     @given(st.text(st.one_of(st.sampled_from("aZ.,' <|>\n\t'"), st.characters(exclude_categories=["Cs"])), max_size=30))
     def run(text):
-        ids = np.frombuffer(next(words.encode([text])), "<u4").tolist()
+        ids = np.frombuffer(next(words.encode(pa.array([text]))), "<u4").tolist()
         assert ids == plain.encode(text, add_special_tokens=False).ids
 
     run()
@@ -122,10 +123,13 @@ def test_latin_words_go_straight_to_the_model():
     @settings(max_examples=400, deadline=None)
     @given(st.text(st.characters(max_codepoint=0x260, categories=["L"]), min_size=1, max_size=15))
     def run(word):
-        assert np.frombuffer(next(words.encode([word])), "<u4").tolist() == plain.encode(word, add_special_tokens=False).ids
+        assert np.frombuffer(next(words.encode(pa.array([word]))), "<u4").tolist() == plain.encode(word, add_special_tokens=False).ids
 
     run()
 
 
-def test_words_of():
-    assert words_of("a\x1cb c") == ["a\x1cb", "c"]
+def test_slices_and_nulls():
+    plain, words = Tokenizer.from_file(TOKENIZER), WordIds(TOKENIZER)
+    texts = ["skipped words", None, " a  B\n", "", "c <|endoftext|> D", "last"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in words.encode(pa.array(texts).slice(1, 4))]
+    assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in texts[1:5]]
