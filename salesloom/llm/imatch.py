@@ -44,7 +44,9 @@ def terms_of(text: Column) -> Column:
 
 def lexicon_of(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(term, draw) of the terms in the band, counted over all documents."""
-    counted = docs.select(F.explode(terms_of(text_of(text_col))).alias("term")).groupBy("term")
+    # the outer form, as for the other Spark would first ask for the size of the array, and make it twice
+    terms = docs.select(F.explode_outer(terms_of(text_of(text_col))).alias("term"))
+    counted = terms.where("term IS NOT NULL").groupBy("term")
     n = docs.count()
     draw = F.conv(F.substring(F.md5(F.col("term").cast("binary")), 1, 8), 16, 10).cast("long")
     return (
@@ -81,7 +83,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """(bucket, place, guest, doc_id, text, next_text); guests stand for the next bucket's first rows."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     spark = docs.sparkSession
-    bounds = _bounds(texts, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # several buckets a partition, so that chance fills partitions evenly
+    bounds = _bounds(texts, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     last = len(bounds) - 1
     own = _bucket(bounds, F.col("doc_id"))
     firsts = F.array(*[F.lit(b).cast("long") for b in bounds])
@@ -131,7 +134,11 @@ def _hashes(drawn: Column, level: Column) -> Column:
         return F.when(text == "", "").otherwise(F.substring(F.md5(text.cast("binary")), 1, 6))
 
     every = F.transform(F.sequence(F.lit(0), n - 1), joined)
-    return F.when(level.isNull() | drawn.isNull(), None).otherwise(F.transform(every, hashed))
+    return (
+        F.when(level.isNull(), None)
+        .when(F.size(drawn) == 0, F.array_repeat(F.lit(""), n))
+        .otherwise(F.transform(every, hashed))
+    )
 
 
 def _part(of: str, name: str) -> Column:
@@ -198,34 +205,41 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.expr("left(text, length(text) - cast(floor(length(text) / 4) AS INT))"), F.substring("next_text", F.lit(1), quarter))
     texts = with_next(docs, id_col, text_col).withColumn("edited", F.coalesce(edited, F.lit("")))
-    # digests are taken before texts are cut into terms: after that, they would be taken for every term
-    rows = texts.select(
-        "bucket",
-        "place",
+    # Digests are taken before texts are cut into terms: after that, they would be taken for every term.
+    # What is known of a document travels on one marker row, so the rows of its terms are short.
+    info = F.struct(
         "guest",
         "doc_id",
         n.cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        F.md5(F.col("text").cast("binary")).alias("whole"),
+        F.md5(F.col("text").cast("binary")).alias("own_whole"),
         F.md5(F.col("edited").cast("binary")).alias("edited_whole"),
-        F.concat(
-            F.transform(terms_of(F.col("text")), lambda t: F.struct(F.lit(0).alias("kind"), t.alias("term"))),
-            F.transform(terms_of(F.col("edited")), lambda t: F.struct(F.lit(1).alias("kind"), t.alias("term"))),
-            # keeps documents without lexicon terms
-            F.array(F.struct(F.lit(2).alias("kind"), F.lit("").alias("term"))),
-        ).alias("terms"),
     )
-    rows = rows.withColumn("at", F.explode("terms")).select("*", "at.kind", "at.term").drop("at", "terms")
+    nothing = F.lit(None).cast(
+        "struct<guest:boolean,doc_id:bigint,n_chars:bigint,edited_sha256:string,own_whole:string,edited_whole:string>"
+    )
+
+    def tagged(text: str, kind: int) -> Column:
+        return F.transform(
+            terms_of(F.col(text)),
+            lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("term"), nothing.alias("info")),
+        )
+
+    marker = F.struct(F.lit(2).alias("kind"), F.lit("").alias("term"), F.col("info").alias("info"))
+    rows = texts.withColumn("info", info).select(
+        "bucket", "place", F.concat(F.array(marker), tagged("text", 0), tagged("edited", 1)).alias("terms")
+    )
+    # no array is empty, as each has its marker
+    rows = rows.select("bucket", "place", F.explode_outer("terms").alias("at")).select("bucket", "place", "at.*")
     known = rows.join(lexicon, "term", "left").where("draw IS NOT NULL OR kind = 2")
 
     def terms(kind: int) -> Column:
         return F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.struct("term", "draw"))))
 
-    kept = ["guest", "doc_id", "n_chars", "edited_sha256", "whole", "edited_whole"]
     grouped = known.groupBy("bucket", "place").agg(
-        *[F.first(c).alias(c) for c in kept], terms(0).alias("own_terms"), terms(1).alias("edited_terms")
+        F.first("info", ignorenulls=True).alias("info"), terms(0).alias("own_terms"), terms(1).alias("edited_terms")
     )
-    printed = grouped.withColumnRenamed("whole", "own_whole")
+    printed = grouped.select("bucket", "place", "info.*", "own_terms", "edited_terms")
     for step in (
         lambda of: {f"{of}_level": _level(_part(of, "terms"))},
         lambda of: {
