@@ -7,8 +7,8 @@ the token's share of its cluster is its share of the corpus. Both steps are prop
 distributions, so their product is.
 
 What is counted covers all documents: every word's count is aggregated by Spark and decides the
-vocabulary, the shares within clusters and the training rate. Words outside the ``VOCABULARY`` most
-frequent are one of ``BUCKETS`` symbols by the checksum of their spelling. The network learns from whole
+vocabulary, the shares within clusters and the training rate. The vocabulary is the ``VOCABULARY`` most
+frequent words, of those that make up 1 / (8 ``VOCABULARY``) of all; words outside are one of ``BUCKETS`` symbols by the checksum of their spelling. The network learns from whole
 documents drawn by hash at a rate that yields about ``SAMPLE_TOKENS`` tokens at any corpus size; the
 model has a fixed size and is sent to all tasks. Scoring is one pass without a shuffle.
 
@@ -197,9 +197,12 @@ def fit(vocabulary: list[bytes], counts: np.ndarray, texts: list[bytes], passes:
 def train(docs: DataFrame, text_col: str = "text") -> Model:
     """Count all words, draw the training documents and fit."""
     counts = stage(word_counts(docs, text_col), "lm_word_counts")
-    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
     bucket = F.crc32(F.col("word").cast("binary")) % BUCKETS
     in_buckets = dict(counts.groupBy(bucket.alias("bucket")).agg(F.sum("n")).collect())
+    n_tokens = sum(in_buckets.values())
+    # no more than 8 * VOCABULARY words can have so large a share, so few rows are compared
+    frequent = counts.where(F.col("n") * (8 * VOCABULARY) >= n_tokens)
+    top = frequent.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
     vocabulary = [r["word"].encode() for r in top]
     totals = np.zeros(SYMBOLS)
     totals[: len(top)] = [r["n"] for r in top]
@@ -207,7 +210,6 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
         totals[VOCABULARY + b] = n
     for word, r in zip(vocabulary, top):
         totals[VOCABULARY + zlib.crc32(word) % BUCKETS] -= r["n"]
-    n_tokens = sum(in_buckets.values())
     rate = min(1.0, SAMPLE_TOKENS / max(1, n_tokens))
     draw = F.pmod(F.xxhash64(F.lit("lm"), text_of(text_col)), F.lit(1 << 30))
     drawn = docs.select(text_of(text_col).alias("text")).where(draw < int(rate * (1 << 30)))
