@@ -7,10 +7,13 @@ the token's share of its cluster is its share of the corpus. Both steps are prop
 distributions, so their product is.
 
 What is counted covers all documents: every word's count is aggregated by Spark and decides the
-vocabulary, the shares within clusters and the training rate. The vocabulary is the ``VOCABULARY`` most
-frequent words, of those that make up 1 / (8 ``VOCABULARY``) of all; words outside are one of ``BUCKETS`` symbols by the checksum of their spelling. The network learns from whole
-documents drawn by hash at a rate that yields about ``SAMPLE_TOKENS`` tokens at any corpus size; the
-model has a fixed size and is sent to all tasks. Scoring is one pass without a shuffle.
+vocabulary and the shares within clusters. The vocabulary is the ``VOCABULARY`` most
+frequent words, of those that make up 1 / (8 ``VOCABULARY``) of all; words outside are one of ``BUCKETS`` symbols by the checksum of their spelling. The network learns from every
+token of all documents, ``PASSES`` times: each partition takes gradient steps over its whole texts from
+the same weights, and the weights it ends with, times its tokens, are added up in a tree and averaged
+for the next pass. Clusters come from the neighbours of all tokens, counted the same way. Only such
+sums of a fixed size reach the driver; the model has a fixed size and is sent to all tasks. Texts
+are stored once as symbols of 16 bits, which the passes read. Scoring is one pass without a shuffle.
 
 Defined results: words are runs other than white space, A-Z in lower case. Null and empty texts have no
 tokens, score 0 and a null mean. Beyond a text's ends stands a blank symbol. Null ids are kept,
@@ -20,11 +23,12 @@ repeated rows scored each, other columns ignored. An empty corpus gives no rows.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +44,15 @@ SIDE = 3
 WIDTH = 16
 HIDDEN = 32
 CLUSTERS = 64
-SAMPLE_TOKENS = 300_000
+#: Frequent symbols whose nearness decides clusters.
+SIGNS = 48
+#: Passes over all documents; places in a row and such rows in a gradient step; tokens laid out at once.
+PASSES = 2
+RUN = 64
+RUNS = 8
+LAID = 1 << 17
+#: Tasks that add up the partitions' sums.
+BRANCHES = 16
 #: Tokens scored at once.
 BLOCK = 1 << 15
 REMEMBERED = 500_000
@@ -73,6 +85,9 @@ class Model:
     out_bias: np.ndarray
     symbols: Symbols | None = field(default=None)
 
+    def weights(self) -> list[np.ndarray]:
+        return [self.embed, self.hidden, self.hidden_bias, self.out, self.out_bias]
+
     def encode(self, text: bytes) -> np.ndarray:
         if self.symbols is None:
             self.symbols = Symbols(self.vocabulary)
@@ -123,17 +138,38 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(words).where("word != ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _clusters(tokens: np.ndarray, padded: np.ndarray, places: np.ndarray) -> np.ndarray:
+def blocks_of(texts: Iterator[np.ndarray], size: int) -> Iterator[list[np.ndarray]]:
+    """Whole texts in lists of at least ``size`` tokens; the last may have fewer."""
+    held, n = [], 0
+    for t in texts:
+        if len(t):
+            held.append(t.astype(np.int64))
+            n += len(t)
+        if n >= size:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
+def neighbours(texts: Iterator[np.ndarray]) -> np.ndarray | None:
+    """How often each symbol stands near each of the ``SIGNS`` most frequent ones, and near any other."""
+    size = SYMBOLS * (SIGNS + 1)
+    counts = None
+    for docs in blocks_of(texts, LAID):
+        tokens, padded, places, _ = lay_out(docs)
+        near = np.minimum(padded, SIGNS)  # the vocabulary is ordered by count
+        at = np.concatenate([tokens * (SIGNS + 1) + near[places + k] for k in range(-SIDE, SIDE + 1) if k])
+        found = np.bincount(at, minlength=size).astype(np.float64)
+        counts = found if counts is None else counts + found
+    return counts
+
+
+def _clusters(counts: np.ndarray) -> np.ndarray:
     """Cluster of each symbol, by k-means on the frequent symbols that stand around it."""
-    signs = 48
-    counts = np.zeros((SYMBOLS, signs + 1), np.float32)
-    for k in (*range(-SIDE, 0), *range(1, SIDE + 1)):
-        near = np.minimum(padded[places + k], signs)  # the vocabulary is ordered by count
-        np.add.at(counts, (tokens, near), 1)
     seen = counts.sum(1)
     mean = counts.sum(0) / max(1.0, float(seen.sum()))
-    points = (counts + 20 * mean) / (seen + 20)[:, None]
-    points = np.sqrt(points)
+    points = np.sqrt((counts + 20 * mean) / (seen + 20)[:, None])
     order = np.argsort(-seen, kind="stable")
     centres = points[order[:CLUSTERS]].copy()
     for _ in range(10):
@@ -145,57 +181,145 @@ def _clusters(tokens: np.ndarray, padded: np.ndarray, places: np.ndarray) -> np.
     return near
 
 
-def fit(vocabulary: list[bytes], counts: np.ndarray, texts: list[bytes], passes: int = 4, batch: int = 512) -> Model:
-    """Train on whole texts. ``counts`` holds each symbol's count in the corpus."""
+def untrained(vocabulary: list[bytes], counts: np.ndarray, near: np.ndarray) -> Model:
+    """``counts`` holds each symbol's count in the corpus, ``near`` its neighbours."""
     random = np.random.default_rng(11)
     small = lambda *shape: (random.standard_normal(shape) * 0.1).astype(np.float32)
-    model = Model(
+    cluster = _clusters(near)
+    smooth = counts + 0.5
+    totals = np.bincount(cluster, smooth, CLUSTERS)
+    return Model(
         vocabulary,
-        np.zeros(SYMBOLS, np.int64),
-        np.zeros(SYMBOLS),
+        cluster,
+        np.log(smooth) - np.log(totals[cluster]),
         small(SYMBOLS + 1, WIDTH),
         small(2 * WIDTH, HIDDEN),
         np.zeros(HIDDEN, np.float32),
         small(HIDDEN, CLUSTERS),
-        np.zeros(CLUSTERS, np.float32),
+        np.log((totals + 1) / (totals + 1).sum()).astype(np.float32),
     )
-    tokens, padded, places, _ = lay_out([model.encode(t) for t in texts])
-    model.cluster = _clusters(tokens, padded, places)
-    smooth = counts + 0.5
-    totals = np.bincount(model.cluster, smooth, CLUSTERS)
-    model.share = np.log(smooth) - np.log(totals[model.cluster])
-    model.out_bias = np.log((totals + 1) / (totals + 1).sum()).astype(np.float32)
-    weights = [model.embed, model.hidden, model.hidden_bias, model.out, model.out_bias]
-    squares = [np.full_like(w, 1e-3) for w in weights]
-    goal = model.cluster[tokens]
-    for _ in range(passes):
-        order = random.permutation(len(tokens))
-        for at in range(0, len(order), batch):
-            some = order[at : at + batch]
-            here = places[some]
-            x, h, logits = model.forward(padded, here)
-            p = np.exp(logits - logits.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            p[np.arange(len(some)), goal[some]] -= 1
-            p /= len(some)
-            back = (p @ model.out.T) * (1 - h**2)
-            wide = back @ model.hidden.T
-            rows = np.concatenate([padded[here - k] for k in range(1, SIDE + 1)] + [padded[here + k] for k in range(1, SIDE + 1)])
-            each = np.concatenate([wide[:, :WIDTH]] * SIDE + [wide[:, WIDTH:]] * SIDE)
-            touched, inverse = np.unique(rows, return_inverse=True)
-            slope = np.zeros((len(touched), WIDTH), np.float32)
-            np.add.at(slope, inverse, each)
-            squares[0][touched] += slope**2
-            model.embed[touched] -= 0.1 * slope / np.sqrt(squares[0][touched])
-            for w, s, g in zip(weights[1:], squares[1:], (x.T @ back, back.sum(0), h.T @ p, p.sum(0))):
-                s += g**2
-                w -= 0.1 * g / np.sqrt(s)
-    model.symbols = None  # workers make their own
-    return model
+
+
+def _step(weights: list[np.ndarray], squares: list[np.ndarray], cluster: np.ndarray, rows: np.ndarray) -> None:
+    """One Adagrad step on runs of neighbouring places, ``SIDE`` more at either end."""
+    embed, hidden, hidden_bias, out, out_bias = weights
+    here = rows[:, SIDE:-SIDE].ravel()
+    real = np.flatnonzero(here != BLANK)
+    e, n = embed[rows], rows.shape[1] - 2 * SIDE
+    left = sum(e[:, k : k + n] for k in range(SIDE))
+    right = sum(e[:, k + SIDE + 1 : k + SIDE + 1 + n] for k in range(SIDE))
+    x = np.concatenate([left, right], 2).reshape(-1, 2 * WIDTH)[real]
+    h = np.tanh(x @ hidden + hidden_bias)
+    p = h @ out + out_bias
+    p -= p.max(1, keepdims=True)
+    np.exp(p, out=p)
+    p /= p.sum(1, keepdims=True)
+    p[np.arange(len(real)), cluster[here[real]]] -= 1
+    p /= len(real)
+    back = (p @ out.T) * (1 - h**2)
+    wide = np.zeros((len(here), 2 * WIDTH), np.float32)
+    wide[real] = back @ hidden.T
+    wide = wide.reshape(len(rows), n, 2 * WIDTH)
+    each = np.zeros_like(e)
+    for k in range(SIDE):
+        each[:, k : k + n] += wide[:, :, :WIDTH]
+        each[:, k + SIDE + 1 : k + SIDE + 1 + n] += wide[:, :, WIDTH:]
+    flat = rows.ravel()
+    order = np.argsort(flat, kind="stable")
+    ranked = flat[order]
+    starts = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+    touched = ranked[starts]
+    slope = np.add.reduceat(each.reshape(-1, WIDTH)[order], starts, axis=0)
+    squares[0][touched] += slope**2
+    embed[touched] -= 0.1 * slope / np.sqrt(squares[0][touched])
+    for w, s, g in zip(weights[1:], squares[1:], (x.T @ back, back.sum(0), h.T @ p, p.sum(0))):
+        s += g**2
+        w -= 0.1 * g / np.sqrt(s)
+
+
+def learn(model: Model, squares: list[np.ndarray], texts: Iterator[np.ndarray], seed: tuple) -> np.ndarray | None:
+    """Steps over all the texts; the weights and squares after them, times the tokens they come from.
+
+    An embedding counts by how often its symbol was there, so partitions without it do not blur it.
+    """
+    random = np.random.default_rng(seed)
+    weights, squares = [w.copy() for w in model.weights()], [s.copy() for s in squares]
+    seen, n = np.zeros(SYMBOLS + 1), 0
+    for docs in blocks_of(texts, LAID):
+        padded = lay_out(docs)[1]
+        runs = -(-(len(padded) - 2 * SIDE) // RUN)
+        laid = np.full(runs * RUN + 2 * SIDE, BLANK, np.int64)
+        laid[: len(padded)] = padded
+        rows = np.lib.stride_tricks.sliding_window_view(laid, RUN + 2 * SIDE)[::RUN][random.permutation(runs)]
+        for at in range(0, runs, RUNS):
+            _step(weights, squares, model.cluster, rows[at : at + RUNS])
+        seen += np.bincount(padded, minlength=SYMBOLS + 1)
+        n += sum(map(len, docs))
+    if not n:
+        return None
+    parts = [[n], seen]
+    for (w, s), by in zip(zip(weights, squares), (seen[:, None], n, n, n, n)):
+        parts += [(w * by).ravel(), (s * by).ravel()]
+    return np.concatenate(parts).astype(np.float64)
+
+
+def _averaged(model: Model, squares: list[np.ndarray], sums: np.ndarray) -> None:
+    """Put the averages of what partitions learned into the model; symbols nobody saw stay."""
+    n, seen, at = sums[0], sums[1 : SYMBOLS + 2], SYMBOLS + 2
+    for i, (w, s) in enumerate(zip(model.weights(), squares)):
+        by = np.broadcast_to(np.maximum(seen, 1)[:, None] if i == 0 else n, w.shape)
+        known = np.broadcast_to(seen[:, None] > 0 if i == 0 else True, w.shape)
+        for whole in (w, s):
+            whole[known] = (sums[at : at + w.size].reshape(w.shape) / by)[known]
+            at += w.size
+
+
+def add_up(tokens: DataFrame, gather: Callable[[Iterator[np.ndarray]], np.ndarray | None]) -> np.ndarray | None:
+    """The sum of what ``gather`` makes of each partition's texts: numbers of one length, added in a tree."""
+
+    def row(sums: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = (np.frombuffer(t, np.int16) for batch in batches for t in batch.column(0).to_pylist())
+        sums = gather(texts)
+        if sums is not None:
+            yield row(sums)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = None
+        for batch in batches:
+            for part in batch.column(0):
+                part = np.frombuffer(part.as_buffer(), np.float64)
+                sums = part.copy() if sums is None else sums + part
+        if sums is not None:
+            yield row(sums)
+
+    some = tokens.mapInArrow(each, "sums binary").repartition(BRANCHES).mapInArrow(total, "sums binary")
+    got = stage(some, "lm_sums").coalesce(1).mapInArrow(total, "sums binary").collect()
+    return np.frombuffer(got[0]["sums"], np.float64) if got else None
+
+
+def encoded(docs: DataFrame, vocabulary: list[bytes], text_col: str = "text") -> DataFrame:
+    """Each document's symbols, 16 bits each."""
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        symbols = Symbols(sent.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                texts = batch.column(0).slice(at, 1024).cast(pa.binary()).to_pylist()
+                words = [(t or b"").lower().split() for t in texts]
+                found = [np.fromiter(map(symbols.__getitem__, w), np.int16, len(w)).tobytes() for w in words]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["tokens"])
+
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "tokens binary")
 
 
 def train(docs: DataFrame, text_col: str = "text") -> Model:
-    """Count all words, draw the training documents and fit."""
+    """Count all words and their neighbours, then fit over all documents, ``PASSES`` times."""
+    ship(docs.sparkSession)
+    context = docs.sparkSession.sparkContext
     counts = stage(word_counts(docs, text_col), "lm_word_counts")
     bucket = F.crc32(F.col("word").cast("binary")) % BUCKETS
     in_buckets = dict(counts.groupBy(bucket.alias("bucket")).agg(F.sum("n")).collect())
@@ -210,11 +334,20 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
         totals[VOCABULARY + b] = n
     for word, r in zip(vocabulary, top):
         totals[VOCABULARY + zlib.crc32(word) % BUCKETS] -= r["n"]
-    rate = min(1.0, SAMPLE_TOKENS / max(1, n_tokens))
-    draw = F.pmod(F.xxhash64(F.lit("lm"), text_of(text_col)), F.lit(1 << 30))
-    drawn = docs.select(text_of(text_col).alias("text")).where(draw < int(rate * (1 << 30)))
-    texts = sorted(r["text"].encode() for r in drawn.distinct().collect())
-    return fit(vocabulary, totals, texts)
+    tokens = stage(encoded(docs, vocabulary, text_col), "lm_tokens")
+    near = add_up(tokens, neighbours)
+    near = np.zeros(SYMBOLS * (SIGNS + 1)) if near is None else near
+    model = untrained(vocabulary, totals, near.reshape(SYMBOLS, SIGNS + 1))
+    squares = [np.full_like(w, 1e-3) for w in model.weights()]
+    for k in range(PASSES):
+        sent = context.broadcast((model, squares))
+        # bound now: the loop's names change
+        one_pass = lambda texts, sent=sent, k=k: learn(*sent.value, texts, (11, k, TaskContext.get().partitionId()))
+        sums = add_up(tokens, one_pass)
+        if sums is not None:
+            _averaged(model, squares, sums)
+        sent.unpersist()
+    return model
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

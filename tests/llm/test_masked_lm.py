@@ -57,3 +57,18 @@ def test_odd_rows(spark, trained):
 def test_counts_cover_all_texts(spark):
     df = spark.createDataFrame([(1, "A b\ta", 1, "x"), (2, None, 1, "x"), (3, "b c", 1, "x")], DOCS)
     assert dict(masked_lm.word_counts(df).collect()) == {"a": 2, "b": 2, "c": 1}
+
+
+def test_every_document_is_learnt_from(spark, monkeypatch):
+    """400,000 tokens of one text's words, and 40 of others that only one document has."""
+    monkeypatch.setattr(masked_lm, "PASSES", 1)
+    rows = [(i, "one two three four five " * 400, 1, "x") for i in range(200)]
+    rows.append((200, "alpha beta gamma delta " * 10, 1, "x"))
+    df = spark.createDataFrame(rows, DOCS).repartition(4)
+    sent = []
+    monkeypatch.setattr(masked_lm, "_averaged", lambda model, squares, sums: sent.append(sums))
+    model = masked_lm.train(df)
+    seen = sent[0][1 : masked_lm.SYMBOLS + 2]
+    assert sent[0][0] == 400_040
+    for word, n in (("one", 80_000), ("alpha", 10)):
+        assert seen[model.encode(word.encode())[0]] >= n
