@@ -6,14 +6,20 @@ tokens to the left and of the three to the right, has one hidden layer, and give
 the token's share of its cluster is its share of the corpus. Both steps are proper
 distributions, so their product is.
 
+The vocabulary is the ``VOCABULARY`` most frequent words, equal counts in the order of their spelling.
+To the network, words outside are one of ``BUCKETS`` symbols by the checksum of their spelling; a score
+takes each such word's own share of its bucket, n / (bucket + 0.5) for a word counted n times.
+Words that the corpus did not have share the remaining 0.5.
+
 What is counted covers all documents: every word's count is aggregated by Spark and decides the
-vocabulary and the shares within clusters. The vocabulary is the ``VOCABULARY`` most
-frequent words, of those that make up 1 / (8 ``VOCABULARY``) of all; words outside are one of ``BUCKETS`` symbols by the checksum of their spelling. The network learns from every
-token of all documents, ``PASSES`` times: each partition takes gradient steps over its whole texts from
+vocabulary, the shares within clusters and those within buckets. The network learns from every token of all documents, ``PASSES`` times: each partition takes gradient steps over its whole texts from
 the same weights, and the weights it ends with, times its tokens, are added up in a tree and averaged
 for the next pass. Clusters come from the neighbours of all tokens, counted the same way. Only such
 sums of a fixed size reach the driver; the model has a fixed size and is sent to all tasks. Texts
-are stored once as symbols of 16 bits, which the passes read. Scoring is one pass without a shuffle.
+are stored once as symbols of 16 bits, which the passes read. The vocabulary is ranked within parts
+of the words first, so a bounded number of rows is merged. Scoring is one pass over the texts; the
+words outside the vocabulary are shuffled to meet their counts, and their sums meet the texts by row.
+No such word makes up more than 1 / ``VOCABULARY`` of all, so none is a hot key.
 
 Defined results: words are runs other than white space, A-Z in lower case. Null and empty texts have no
 tokens, score 0 and a null mean. Beyond a text's ends stands a blank symbol. Null ids are kept,
@@ -29,7 +35,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from salesloom.llm.common import SPACE, ascii_lower, ship, text_of
@@ -51,13 +57,22 @@ PASSES = 2
 RUN = 64
 RUNS = 8
 LAID = 1 << 17
-#: Tasks that add up the partitions' sums.
+#: Parts in which words are ranked; tasks that add up the partitions' sums.
+PARTS = 32
 BRANCHES = 16
 #: Tokens scored at once.
 BLOCK = 1 << 15
 REMEMBERED = 500_000
 
-_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_prob", pa.float64())])
+_SCHEMA = pa.schema(
+    [
+        ("doc_id", pa.int64()),
+        ("row", pa.int64()),
+        ("n_tokens", pa.int64()),
+        ("log_prob", pa.float64()),
+        ("rare", pa.list_(pa.binary())),
+    ]
+)
 
 
 class Symbols(dict):
@@ -83,15 +98,22 @@ class Model:
     hidden_bias: np.ndarray
     out: np.ndarray
     out_bias: np.ndarray
+    buckets: np.ndarray  # log count of each bucket
     symbols: Symbols | None = field(default=None)
+    counts: DataFrame | None = field(default=None)  # (word, n), where it is stored
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"symbols": None, "counts": None}  # workers make their own symbols
 
     def weights(self) -> list[np.ndarray]:
         return [self.embed, self.hidden, self.hidden_bias, self.out, self.out_bias]
 
     def encode(self, text: bytes) -> np.ndarray:
+        return self.encode_words(text.lower().split())
+
+    def encode_words(self, words: list[bytes]) -> np.ndarray:
         if self.symbols is None:
             self.symbols = Symbols(self.vocabulary)
-        words = text.lower().split()
         return np.fromiter(map(self.symbols.__getitem__, words), np.int64, len(words))
 
     def token_log_probs(self, tokens: np.ndarray, padded: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -113,8 +135,11 @@ class Model:
         return x, h, h @ self.out + self.out_bias
 
     def score(self, texts: list[bytes]) -> list[tuple[int, float]]:
-        """(number of tokens, summed log-probability) of each text."""
-        tokens, padded, places, ends = lay_out([self.encode(t) for t in texts])
+        """(number of tokens, summed log-probability up to the bucket) of each text."""
+        return self.score_encoded([self.encode(t) for t in texts])
+
+    def score_encoded(self, texts: list[np.ndarray]) -> list[tuple[int, float]]:
+        tokens, padded, places, ends = lay_out(texts)
         sums = np.concatenate(([0.0], np.cumsum(self.token_log_probs(tokens, padded, places))))
         starts = np.concatenate(([0], ends[:-1]))
         return [(int(b - a), float(sums[b] - sums[a])) for a, b in zip(starts, ends)]
@@ -138,6 +163,14 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(words).where("word != ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
+def most_frequent(counts: DataFrame, most: int) -> list[Row]:
+    """The ``most`` words of (word, n) by count, then by spelling: ranked within parts, then merged."""
+    part = Window.partitionBy("part").orderBy(F.desc("n"), "word")
+    parts = counts.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(PARTS)))
+    first = stage(parts.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= most), "lm_frequent")
+    return first.select("word", "n").coalesce(1).orderBy(F.desc("n"), "word").limit(most).collect()
+
+
 def blocks_of(texts: Iterator[np.ndarray], size: int) -> Iterator[list[np.ndarray]]:
     """Whole texts in lists of at least ``size`` tokens; the last may have fewer."""
     held, n = [], 0
@@ -197,6 +230,7 @@ def untrained(vocabulary: list[bytes], counts: np.ndarray, near: np.ndarray) ->
         np.zeros(HIDDEN, np.float32),
         small(HIDDEN, CLUSTERS),
         np.log((totals + 1) / (totals + 1).sum()).astype(np.float32),
+        np.log(smooth[VOCABULARY:]),
     )
 
 
@@ -323,10 +357,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     counts = stage(word_counts(docs, text_col), "lm_word_counts")
     bucket = F.crc32(F.col("word").cast("binary")) % BUCKETS
     in_buckets = dict(counts.groupBy(bucket.alias("bucket")).agg(F.sum("n")).collect())
-    n_tokens = sum(in_buckets.values())
-    # no more than 8 * VOCABULARY words can have so large a share, so few rows are compared
-    frequent = counts.where(F.col("n") * (8 * VOCABULARY) >= n_tokens)
-    top = frequent.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
+    top = most_frequent(counts, VOCABULARY)
     vocabulary = [r["word"].encode() for r in top]
     totals = np.zeros(SYMBOLS)
     totals[: len(top)] = [r["n"] for r in top]
@@ -347,6 +378,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
         if sums is not None:
             _averaged(model, squares, sums)
         sent.unpersist()
+    model.counts = counts
     return model
 
 
@@ -360,12 +392,27 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
-                texts = [t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()]
-                n, total = zip(*model.score(texts))
-                columns = [part.column(0).to_pylist(), list(n), list(total)]
+                words = [(t or b"").lower().split() for t in part.column(2).cast(pa.binary()).to_pylist()]
+                texts = [model.encode_words(w) for w in words]
+                n, total = zip(*model.score_encoded(texts))
+                outside = [np.flatnonzero(t >= VOCABULARY) for t in texts]
+                # the words' own counts come in by the join
+                total = [s - float(model.buckets[t[o] - VOCABULARY].sum()) for s, t, o in zip(total, texts, outside)]
+                rare = [[w[i] for i in o.tolist()] for w, o in zip(words, outside)]
+                columns = [part.column(0), part.column(1), list(n), total, rare]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SCHEMA)], schema=_SCHEMA)
 
-    scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, n_tokens long, log_prob double"
+    texts = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text")
+    )
+    scored = stage(
+        texts.mapInArrow(run, "doc_id long, row long, n_tokens long, log_prob double, rare array<binary>"), "lm_scored"
     )
-    return scored.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))
+    rare = scored.select("row", F.explode("rare").alias("word")).withColumn("word", F.col("word").cast("string"))
+    own = F.log(F.coalesce(F.col("n").cast("double"), F.lit(0.5)))
+    # the same join at every size: both sides grow with the texts
+    sums = rare.join(model.counts.hint("merge"), "word", "left").groupBy("row").agg(F.sum(own).alias("own"))
+    whole = scored.drop("rare").join(sums, "row", "left")
+    return whole.select(
+        "doc_id", "n_tokens", (F.col("log_prob") + F.coalesce("own", F.lit(0.0))).alias("log_prob")
+    ).withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))

@@ -72,3 +72,27 @@ def test_every_document_is_learnt_from(spark, monkeypatch):
     assert sent[0][0] == 400_040
     for word, n in (("one", 80_000), ("alpha", 10)):
         assert seen[model.encode(word.encode())[0]] >= n
+
+
+def test_vocabulary_is_the_most_frequent_words(spark):
+    words = [(f"w{i:05d}", 1 + i // 3) for i in range(2000)]
+    counts = spark.createDataFrame(words, "word string, n long").repartition(5)
+    found = [(r["word"], r["n"]) for r in masked_lm.most_frequent(counts, 100)]
+    assert found == sorted(words, key=lambda r: (-r[1], r[0]))[:100]
+
+
+def test_rare_words_have_their_own_share(spark, monkeypatch):
+    """A word that is counted twice as often, or never, in one bucket differs by that alone."""
+    monkeypatch.setattr(masked_lm, "most_frequent", lambda counts, most: counts.orderBy("word").limit(0).collect())
+    bucket = {}
+    for i in range(5000):
+        bucket.setdefault(masked_lm.zlib.crc32(b"q%d" % i) % masked_lm.BUCKETS, []).append(f"q{i}")
+    often, once, never = next(b for b in bucket.values() if len(b) >= 3)[:3]
+    docs = spark.createDataFrame([(1, f"{often} {often} {often} {once}", 1, "x")], DOCS)
+    model = masked_lm.train(docs)
+    asked = spark.createDataFrame([(1, often, 1, "x"), (2, once, 1, "x"), (2, once, 1, "x"), (3, never, 1, "x")], DOCS)
+    got = sorted((r["doc_id"], r["mean_log_prob"]) for r in masked_lm.score(asked, model).collect())
+    symbol = model.score([often.encode()])[0][1]
+    for (_, found), n in zip(got, (3, 1, 1, 0.5)):
+        assert found == pytest.approx(symbol + np.log(n / 4.5), abs=1e-5)
+    assert len(got) == 4
