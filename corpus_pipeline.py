@@ -26,7 +26,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated cross-site lines; ``n_chars`` follows the text."""
-    cleaned = line_dedup.remove_boilerplate(docs).select(*docs.columns)
+    cleaned = line_dedup.remove_boilerplate(docs, min_words=1).select(*docs.columns)
     return cleaned.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
 

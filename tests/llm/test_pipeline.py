@@ -66,3 +66,12 @@ def test_odd_documents(spark):
 def test_run(spark):
     assert corpus_pipeline.run(spark, f"{oracle.TESTDATA}/sf0.001").count() > 0
     assert near_dedup.PERCENT == 85 and len(corpus_pipeline.STAGES) == 5
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, row string"
+
+
+def test_short_boilerplate_goes(spark):
+    rows = [(i, f"own line {i}\nMenu\nLog in", "en", f"s{i}", 1, "x") for i in range(4)]
+    got = corpus_pipeline.drop_boilerplate(spark, spark.createDataFrame(rows, ODD), SF)
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == {0: rows[0][1]} | {i: f"own line {i}" for i in (1, 2, 3)}
