@@ -1,13 +1,14 @@
 """The training-data pipeline: from documents to packed windows.
 
 STAGES are run in order; each works on all rows that the one before kept, written as Parquet and read
-again. All but the last return the columns of ``documents``. Rows with equal columns are treated alike.
+again. All but the last return the columns of ``documents``. Ids may be null or repeated: verdicts on
+rows are joined by a number that each row gets where its stage stores it.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesloom.llm import line_dedup, mixing, near_dedup, packing, toxicity
@@ -18,6 +19,12 @@ from salesloom.operators.staging import stage
 ORACLE_SQL = None
 
 
+def numbered(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``docs`` stored with a number for each row, and that column's name."""
+    row = fresh(docs, "row")
+    return stage(docs.withColumn(row, F.monotonically_increasing_id()), label), row
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold; the others go."""
     model = toxicity.fit(*toxicity.training_sample(docs, read(spark, sf_dir, "labels")))
@@ -36,14 +43,36 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return left.join(right, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
 
 
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; one taken in part is there if at least half of it is."""
+def whole_copies(mixed: DataFrame, row: str) -> DataFrame:
+    """``row`` and ``copies`` of rows with words: what the mix takes, rounded to whole documents.
+
+    Along the seeded order one copy more or less is taken until a source has its target, to within half
+    of the document that it stops in. Prefix sums run within shards, whose sums are few.
+    """
+    key = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("~"))
     copies = F.expr("(2 * taken + size) div (2 * size)")
-    taken = mixing.mix(docs).where("size > 0").select("doc_id", copies.alias("copies"))
-    taken = stage(taken.where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("copies")), "mix_copies")
-    left, right = docs.alias("d"), taken.alias("t")
-    met = left.join(right, F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")))
-    repeat = F.explode(F.sequence(F.lit(1).cast("long"), F.col("t.copies"))).alias(fresh(docs, "copy"))
+    near = stage(mixed.where("size > 0").withColumn("key", key).withColumn("copies", copies), "mix_near")
+    lack = near.groupBy("key").agg((F.max("target") - F.sum(F.col("copies") * F.col("size"))).alias("lack"))
+    able = near.join(lack, "key").where(f"(lack > 0 AND copies < {mixing.REPEATS}) OR (lack < 0 AND copies > 0)")
+    before = Window.partitionBy("key").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    shards = able.groupBy("key", "shard").agg(F.sum("size").alias("words"))
+    shards = shards.select("key", "shard", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("offset"))
+    along = Window.partitionBy("key", "shard").orderBy("place", row).rowsBetween(Window.unboundedPreceding, 0)
+    middle = F.col("offset") + F.sum("size").over(along) - F.col("size") / 2
+    moved = able.join(shards, ["key", "shard"]).where("offset <= abs(lack)").withColumn("middle", middle)
+    moved = moved.where("middle <= abs(lack)").select(row, F.signum("lack").cast("long").alias("moved"))
+    met = near.select(row, "copies").join(moved, row, "left")
+    return met.select(row, (F.col("copies") + F.coalesce("moved", F.lit(0))).alias("copies"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, each whole, so that sources keep their targets."""
+    rows, row = numbered(docs, "mix_rows")
+    taken = whole_copies(mixing.mix(rows, row_col=row), row)
+    taken = stage(taken.where("copies > 0"), "mix_copies")
+    left, right = rows.alias("d"), taken.alias("t")
+    met = left.join(right, F.col(f"d.{row}") == F.col(f"t.{row}"))
+    repeat = F.explode(F.sequence(F.lit(1).cast("long"), F.col("t.copies"))).alias(fresh(rows, "copy"))
     return met.select("d.*", repeat).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

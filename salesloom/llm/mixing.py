@@ -128,8 +128,19 @@ def _draw(*what: Column) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target and taken."""
+def mix(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    row_col: str | None = None,
+) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target and taken.
+
+    ``row_col`` numbers the rows, for ids that do not: it breaks ties in the order and is returned, too,
+    with each row's shard and place there.
+    """
+    row = [row_col] if row_col else []
     key = F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit("~"))  # null sorts last
     sizes = stage(
         docs.select(
@@ -137,6 +148,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
             F.col(source_col).alias("source"),
             key.alias("key"),
             F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size"),
+            *row,
         ),
         "mix_sizes",
     )
@@ -162,6 +174,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         "size",
         F.md5(F.concat_ws(":", F.lit(SEED), F.lit("order"), name).cast("binary")).alias("place"),
         F.pmod(_draw(F.lit("shard"), name), F.col("n_shards")).alias("shard"),
+        *row,
     )
     shards = (
         placed.groupBy("key", "shard")
@@ -181,7 +194,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         .select("key", "shard", "source_size", "target", F.col("weight").alias("words"), "blocks", "passes", "rest", "start"),
         "mix_shards",
     )
-    along = Window.partitionBy("key", "shard").orderBy("place", "doc_id", "size")
+    along = Window.partitionBy("key", "shard").orderBy("place", "doc_id", "size", *row)
     laid = (
         placed.join(quotas, ["key", "shard"])
         .withColumn("end", F.sum("size").over(along.rowsBetween(Window.unboundedPreceding, 0)))
@@ -201,4 +214,5 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         "source_size",
         "target",
         (F.col("passes") * F.col("size") + run + around).cast("long").alias("taken"),
+        *(["shard", "place", *row] if row else []),
     )

@@ -5,7 +5,7 @@ import oracle
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from salesloom.llm import near_dedup, packing
+from salesloom.llm import mixing, near_dedup, packing
 from salesloom.operators.staging import stage
 
 SF = f"{oracle.TESTDATA}/sf0.01"
@@ -71,6 +71,19 @@ def test_run(spark):
 ODD = "doc_id long, text string, lang string, source string, n_chars long, row string"
 
 
+def test_each_row_is_mixed_by_its_own_number(spark):
+    """Rows without an id or with one id; a source of a few long texts beside one of short ones."""
+    rows = [(None if i % 2 else 7, f"w{i} " * (3000 if i % 40 == 3 else 5), "en", "abc"[i % 3], 1, "x") for i in range(400)]
+    docs = spark.createDataFrame(rows + [(1, "z " * 4000, "en", "d", 1, "x")], ODD)
+    got = corpus_pipeline.mix_sources(spark, docs, SF)
+    assert got.columns == docs.columns
+    size = F.size(F.split(F.trim("text"), " "))
+    words = {r["source"]: (r["n"], r["most"]) for r in got.groupBy("source").agg(F.sum(size).alias("n"), F.max(size).alias("most")).collect()}
+    for r in mixing.mix(docs).select("source", "target").distinct().collect():
+        assert abs(words[r["source"]][0] - r["target"]) <= words[r["source"]][1]
+    assert got.groupBy("text").count().agg(F.max("count")).first()[0] <= mixing.REPEATS
+
+
 def test_short_boilerplate_goes(spark):
     rows = [(i, f"own line {i}\nMenu\nLog in", "en", f"s{i}", 1, "x") for i in range(4)]
     got = corpus_pipeline.drop_boilerplate(spark, spark.createDataFrame(rows, ODD), SF)
