@@ -38,9 +38,13 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near duplicates."""
-    left, right = docs.alias("d"), near_dedup.dedup(docs).where("kept").alias("k")
-    return left.join(right, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
+    """One row of each group of near duplicates: the one with the smallest id, null ids last."""
+    rows, row = numbered(docs, "near_rows")
+    groups = near_dedup.dedup(rows, id_col=row).select(F.col("doc_id").alias(row), "component_id")
+    ids = rows.select(row, F.col("doc_id").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull(), "id", row))[row].alias(row)
+    kept = stage(groups.join(ids, row).groupBy("component_id").agg(first).select(row), "near_kept")
+    return rows.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def whole_copies(mixed: DataFrame, row: str) -> DataFrame:

@@ -71,6 +71,18 @@ def test_run(spark):
 ODD = "doc_id long, text string, lang string, source string, n_chars long, row string"
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Repeated rows, rows that share an id but not a text, and null ids among near copies."""
+    text = lambda k: " ".join(f"w{k}n{i}" for i in range(60))
+    rows = [(1, text(1)), (1, text(1)), (1, text(1) + " end"), (2, text(1)), (2, text(2)), (3, text(2) + " end")]
+    rows += [(None, text(1)), (None, text(3)), (None, text(3) + " end"), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1, "x") for i, t in rows], ODD)
+    got = corpus_pipeline.keep_one_of_each_group(spark, docs, SF)
+    assert got.columns == docs.columns
+    kept = [(r["doc_id"], (r["text"] or "").split("n")[0]) for r in got.collect()]
+    assert sorted(kept, key=str) == sorted([(1, "w1"), (2, "w2"), (None, "w3"), (None, ""), (None, "")], key=str)
+
+
 def test_each_row_is_mixed_by_its_own_number(spark):
     """Rows without an id or with one id; a source of a few long texts beside one of short ones."""
     rows = [(None if i % 2 else 7, f"w{i} " * (3000 if i % 40 == 3 else 5), "en", "abc"[i % 3], 1, "x") for i in range(400)]
