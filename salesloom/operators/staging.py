@@ -24,6 +24,11 @@ def _staged(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/staged/{spark.sparkContext.applicationId}"
 
 
+def staged_path(spark: SparkSession, label: str) -> str:
+    """A new folder for what an application stores by itself; ``clear_staged`` removes it, too."""
+    return f"{_staged(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
@@ -31,7 +36,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     carries its real size, by which Spark picks broadcast joins, and it can be read by column.
     ``clear_staged`` removes what an application has staged.
     """
-    path = f"{_staged(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    path = staged_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
