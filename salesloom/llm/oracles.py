@@ -177,4 +177,106 @@ SELECT conv_id, n_turns, sha256(body) AS turns_sha256, length(said)::BIGINT AS l
   sha256(said) AS loss_sha256, formatted_chars FROM joined
 """
 
-ORACLES = {"op1_line_dedup": LINES, "op9_chat_tree": CHAT, "op5_imatch": IMATCH, "op2_mix_sources": MIX, "op8_exact_dedup": EXACT}
+DECONTAMINATED = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (
+  SELECT coalesce(item_id::VARCHAR, 'null') AS item, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+cut AS (
+  SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM items WHERE len(w) > 0),
+terms AS (SELECT word, row_number() OVER () AS t FROM (SELECT DISTINCT unnest(w) AS word FROM items)),
+phrases AS (
+  SELECT DISTINCT item, least(len(w), 10) AS size, list_transform(w[s : s + 9], lambda x: m[x]) AS phrase
+  FROM cut, (SELECT map(list(word), list(t)) AS m FROM terms)),
+places AS (SELECT r, len(w) AS n, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM docs),
+following AS (
+  SELECT r, n, p, [t, lead(t, 1) OVER d, lead(t, 2) OVER d, lead(t, 3) OVER d, lead(t, 4) OVER d, lead(t, 5) OVER d,
+    lead(t, 6) OVER d, lead(t, 7) OVER d, lead(t, 8) OVER d, lead(t, 9) OVER d] AS next
+  FROM places LEFT JOIN terms USING (word) WINDOW d AS (PARTITION BY r ORDER BY p)),
+met AS (
+  SELECT r, p, s.size, item FROM (SELECT * FROM following WHERE next[1] IS NOT NULL), (SELECT DISTINCT size FROM phrases) s
+    JOIN phrases ON phrases.size = s.size AND phrase = next[1 : s.size]
+  WHERE p + s.size - 1 <= n),
+hit AS (
+  SELECT r, count(DISTINCT word) AS n_hit FROM (SELECT r, unnest(range(p, p + size)) AS word FROM met) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, item FROM met) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""
+
+RANKED = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents WHERE text IS NOT NULL),
+sizes AS (SELECT r, doc_id, len(w)::BIGINT AS n FROM docs WHERE len(w) > 0),
+stats AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM sizes),
+counted AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS term FROM docs) GROUP BY ALL),
+weighted AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS weight
+  FROM (SELECT term, count(*) AS df FROM counted GROUP BY term), stats),
+wanted AS (
+  SELECT i, item_id, term, count(*)::BIGINT AS repeats FROM (
+    SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+scored AS (
+  SELECT i, item_id, doc_id, r, sum(repeats * weight
+    * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * n_docs) // n_terms)))))::BIGINT AS score
+  FROM wanted JOIN counted USING (term) JOIN weighted USING (term) JOIN sizes USING (r), stats GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored WHERE score > 0)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM ranked WHERE place <= 20
+"""
+
+#: CRC-32 by its table, which is computed; words one edit apart by the forms that lose one letter.
+SPELT = r"""
+WITH RECURSIVE steps AS (
+  SELECT range::BIGINT AS b, 0 AS k, range::BIGINT AS v FROM range(256)
+  UNION ALL SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM steps WHERE k < 8),
+crc AS (SELECT list(v ORDER BY b) AS t FROM steps WHERE k = 8),
+runs AS (
+  SELECT id, run, count(*) AS k, hex(id || ':' || run) AS bytes FROM (
+    SELECT coalesce(doc_id::VARCHAR, 'null') AS id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents) GROUP BY ALL),
+drawn AS (
+  SELECT run, k, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(0, length(bytes) // 2),
+    lambda i: ('0x' || substr(bytes, 2 * i + 1, 2))::BIGINT)), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) AS h
+  FROM runs, crc WHERE length(run) >= 7),
+spelt AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM drawn),
+words AS (
+  SELECT word, sum(k)::BIGINT AS n FROM spelt WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+lost AS (
+  SELECT word, n, length(word) AS size, i, left(word, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)),
+apart AS (
+  SELECT a.word AS a, b.word AS b, b.n FROM lost a JOIN lost b ON a.size = b.size AND a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT l.word, w.word, w.n FROM lost l JOIN words w ON l.rest = w.word
+  UNION SELECT w.word, l.word, l.n FROM lost l JOIN words w ON l.rest = w.word),
+best AS (
+  SELECT a AS word, count(*) AS n_near, max(n) AS form_n, first(b ORDER BY n DESC, b) AS form FROM apart GROUP BY a),
+judged AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN form_n >= 10 * w.n THEN form END AS form,
+    CASE WHEN form_n >= 10 * w.n THEN form_n END AS form_n
+  FROM words w LEFT JOIN best ON best.word = w.word),
+paths AS (
+  SELECT word, word AS root, 0 AS depth FROM judged
+  UNION ALL SELECT p.word, j.form, depth + 1 FROM paths p JOIN judged j ON j.word = p.root WHERE j.form IS NOT NULL),
+ends AS (SELECT word, first(root ORDER BY depth DESC) AS root FROM paths GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN ends USING (word)
+"""
+
+ORACLES = {
+    "op1_line_dedup": LINES,
+    "op9_chat_tree": CHAT,
+    "op5_imatch": IMATCH,
+    "op2_mix_sources": MIX,
+    "op8_exact_dedup": EXACT,
+    "op11_decontaminate": DECONTAMINATED,
+    "op12_reversed_search": RANKED,
+    "op13_spelling": SPELT,
+}

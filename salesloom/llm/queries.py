@@ -8,8 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import chat_tree, exact_dedup, imatch, line_dedup, masked_lm, mixing, near_dedup, packing, toxicity, url_filter
-from salesloom.llm.common import read
+from salesloom.llm import (
+    chat_tree,
+    decontaminate,
+    exact_dedup,
+    imatch,
+    line_dedup,
+    masked_lm,
+    mixing,
+    near_dedup,
+    packing,
+    reversed_search,
+    spelling,
+    toxicity,
+    url_filter,
+)
+from salesloom.llm.common import ascii_lower, read, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,6 +114,39 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.col("items").cast("binary"), 256).alias("items_sha256"), "contaminated"
+    )
+
+
+def op12_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reversed_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def misspelt_words(docs: DataFrame, least: int = 7, every: int = 31) -> DataFrame:
+    """(word, n): runs of letters, of which one in ``every``, by a checksum, loses a letter; at least two occurrences.
+
+    A null id is written ``null`` in the checksum. A run of ``least`` letters that loses one is no word.
+    """
+    run = F.regexp_extract_all(text_of(), F.lit("[A-Za-z\u00C0-\u00FF]{%d,}" % least), F.lit(0))
+    runs = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("id"), F.explode(run).alias("run"))
+    ascii_only = F.octet_length("run") == F.char_length("run")
+    lowered = F.when(ascii_only, F.lower("run")).otherwise(ascii_lower(F.col("run")))
+    drawn = runs.select(lowered.alias("run"), F.crc32(F.concat("id", F.lit(":"), lowered)).alias("draw"))
+    at = (F.col("draw") % F.char_length("run")).cast("int")
+    shorter = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.char_length("run")))
+    word = F.when(F.col("draw") % every == 0, shorter).otherwise(F.col("run"))
+    found = drawn.select(word.alias("word")).where(F.char_length("word") >= least)
+    return found.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.variants(misspelt_words(read(spark, sf_dir, "documents")))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_mix_sources": op2_mix_sources,
@@ -111,4 +158,7 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_chat_tree": op9_chat_tree,
     "op10_pack": op10_pack,
+    "op11_decontaminate": op11_decontaminate,
+    "op12_reversed_search": op12_reversed_search,
+    "op13_spelling": op13_spelling,
 }
