@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -44,7 +45,8 @@ def weighted_value(value: Column, percent: Column) -> Column:
     """
     share = (percent.try_cast("decimal(9,0)") * Decimal("0.01")).cast("decimal(11,2)")
     usual = (value.try_cast(_AMOUNT) * share).try_cast(NUMERIC)
-    return F.coalesce(usual, _wide_share(value, percent))
+    both = F.struct(value.alias("value"), percent.alias("percent"))
+    return F.coalesce(usual, _let(both, lambda p: _wide_share(p["value"], p["percent"])))
 
 
 def _wide_share(value: Column, percent: Column) -> Column:
@@ -64,48 +66,122 @@ def _wide_share(value: Column, percent: Column) -> Column:
     return _amount(whole, low, (value < 0) != (percent < 0))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used.
+
+    A lambda stays out of the generated code, whose methods the JVM leaves uncompiled when they grow.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Amount over amount, rounded half away from zero to nine decimals.
 
-    Spark divides two decimal(38,9) to six decimals only. A double has the right ninth decimal
-    unless the quotient is large or next to a half; only then it is divided digit by digit. NULL
-    where the quotient needs more than 28 digits before the point, or the denominator is 0.
+    Spark divides two decimal(38,9) to six decimals only. So there are four ways, each for what the
+    one before leaves: long integers, for amounts of four decimals; a double, where it has the right
+    ninth decimal; whole billionths divided with a remainder, for amounts below 10^17; and digit by
+    digit. NULL where the quotient needs more than 28 digits before the point, or the denominator is 0.
     """
-    billionths = F.try_divide(numerator.cast("double"), denominator.cast("double")) * 1e9
-    beside_half = F.abs(F.abs(billionths - F.floor(billionths)) - 0.5)
-    certain = (F.abs(billionths) < 1e12) & (beside_half > 0.001)
-    rounded = F.floor(billionths + 0.5).try_cast("decimal(20,0)") * F.lit(_NINTH)
-    return F.when(certain, rounded.cast(NUMERIC)).otherwise(_long_ratio(numerator, denominator))
 
+    def slowly(p: Column) -> Column:
+        ways = (way(p["n"], p["d"]) for way in (_double_ratio, _usual_ratio, _long_ratio))
+        return F.when(p["n"].isNotNull() & (p["d"] != 0), F.coalesce(*ways))
+
+    both = F.struct(numerator.alias("n"), denominator.alias("d"))
+    return F.coalesce(_quick_ratio(numerator, denominator), _let(both, slowly))
+
+
+def _quick_ratio(numerator: Column, denominator: Column) -> Column:
+    """In long integers, three digits at a time; NULL beyond four decimals or 9 * 10^9.
+
+    Nothing here but the rounding stands under a condition, so the generated code computes each
+    part once.
+    """
+    n = _ten_thousandths(numerator, "decimal(18,4)")
+    # 15 digits, so that a thousand times a rest is a long
+    d = F.nullif(_ten_thousandths(denominator, "decimal(15,4)"), F.lit(0).cast("bigint"))
+    total, rest = F.call_function("div", n, d), n % d
+    for _ in range(3):
+        wide = rest * 1000
+        total = F.try_add(F.try_multiply(total, F.lit(1000)), F.call_function("div", wide, d))
+        rest = wide % d
+    up = (F.abs(rest) * 2 >= F.abs(d)).cast("int") * (F.signum(n) * F.signum(d)).cast("int")
+    return (F.try_add(total, up).cast("decimal(19,0)") * F.lit(_NINTH)).cast(NUMERIC)
+
+
+def _ten_thousandths(c: Column, narrow: str) -> Column:
+    """The amount as a long, if it has four decimals at most and fits."""
+    near = c.try_cast(narrow)
+    return F.when(near == c, (near * 10000).cast("bigint"))
+
+
+def _double_ratio(n: Column, d: Column) -> Column:
+    """By a double, unless the quotient is large or next to a half."""
+
+    def rounded(q: Column) -> Column:
+        beside_half = F.abs(F.abs(q - F.floor(q)) - 0.5)
+        size = F.floor(q + 0.5).try_cast("decimal(20,0)") * F.lit(_NINTH)
+        return F.when((F.abs(q) < 1e12) & (beside_half > 0.001), size.cast(NUMERIC))
+
+    return _let(F.try_divide(n.cast("double"), d.cast("double")) * 1e9, rounded)
 
-def _long_ratio(numerator: Column, denominator: Column) -> Column:
+
+def _usual_ratio(n: Column, d: Column) -> Column:
+    """The same for amounts below 10^17 and quotients below 10^19, else NULL.
+
+    In billionths both have 26 digits at most, so the numerator has room for nine more.
+    """
+
+    def divided(p: Column) -> Column:
+        whole = F.try_divide(p["wide"] - p["rest"], p["d"]).try_cast("decimal(28,0)")
+        up = F.when(p["rest"] * 2 >= p["d"], 1).otherwise(0).cast("decimal(1,0)")
+        size = ((whole + up).try_cast("decimal(28,0)") * F.lit(_NINTH)).cast("decimal(28,9)")
+        return F.when((n < 0) != (d < 0), -size).otherwise(size).cast(NUMERIC)
+
+    def rest(p: Column) -> Column:
+        return _let(F.struct(p["wide"].alias("wide"), p["d"].alias("d"), (p["wide"] % p["d"]).alias("rest")), divided)
+
+    wide = (_units_of(n.try_cast(_AMOUNT)) * F.lit(Decimal(10**9))).cast("decimal(35,0)")
+    return _let(F.struct(wide.alias("wide"), _units_of(d.try_cast(_AMOUNT)).alias("d")), rest)
+
+
+def _units_of(c: Column) -> Column:
+    """The size of a decimal(26,9) in billionths."""
+    return F.abs((c * F.lit(Decimal(10**9))).cast("decimal(26,0)"))
+
+
+def _long_ratio(n: Column, d: Column) -> Column:
     """The same by long division of whole billionths: the whole part, then nine digits."""
-    n = _billionths(numerator)
-    d = F.when(denominator != 0, _billionths(denominator))
-    first = n % d
-    whole = F.try_divide(n - first, d).try_cast("decimal(28,0)")
+    negative = ((n < 0) != (d < 0)).alias("negative")
+    parts = F.struct(_billionths(n).alias("n"), _billionths(d).alias("d"), negative)
+    return _let(parts, lambda p: _let(_divided(p), _ratio_of))
+
 
-    def next_digit(state: Column, _: Column) -> Column:
+def _divided(p: Column) -> Column:
+    """The rest of a whole division, and with it the nine digits that follow."""
+
+    def next_digit(state: Column) -> Column:
         # the product is NULL, never wrong, if it needs more than 38 digits
-        return F.struct(
-            F.try_multiply(state["rest"], F.lit(Decimal(10))).try_cast(_UNITS).alias("tenfold"),
-            state["digits"].alias("digits"),
-        )
+        tenfold = F.try_multiply(state["rest"], F.lit(Decimal(10))).try_cast(_UNITS)
+        return F.struct(tenfold.alias("tenfold"), state["digits"].alias("digits"))
 
     def take(state: Column) -> Column:
-        rest = state["tenfold"] % d
-        digit = ((state["tenfold"] - rest) / d).cast("long")
+        rest = state["tenfold"] % p["d"]
+        digit = ((state["tenfold"] - rest) / p["d"]).cast("long")
         return F.struct(rest.cast(_UNITS).alias("rest"), (state["digits"] * 10 + digit).alias("digits"))
 
-    start = F.struct(first.cast(_UNITS).alias("rest"), F.lit(0).cast("long").alias("digits"))
-    steps = F.sequence(F.lit(1), F.lit(9))
-    # a one-element array names the intermediate state, so it is computed once per digit
-    end = F.aggregate(
-        steps, start, lambda s, i: F.element_at(F.transform(F.array(next_digit(s, i)), take), 1)
-    )
-    up = F.when(end["rest"] >= d - end["rest"], 1).otherwise(0)
-    digits = (end["digits"] + up).cast("decimal(10,0)")
-    return _amount(whole, digits, (numerator < 0) != (denominator < 0))
+    first = (p["n"] % p["d"]).cast(_UNITS)
+    start = F.struct(first.alias("rest"), F.lit(0).cast("long").alias("digits"))
+    end = F.aggregate(F.sequence(F.lit(1), F.lit(9)), start, lambda s, _: _let(next_digit(s), take))
+    whole = F.try_divide(p["n"] - first, p["d"]).try_cast("decimal(28,0)")
+    return F.struct(whole.alias("whole"), end.alias("end"), p["d"].alias("d"), p["negative"].alias("negative"))
+
+
+def _ratio_of(p: Column) -> Column:
+    """The rounded quotient of what ``_divided`` gives."""
+    up = F.when(p["end"]["rest"] >= p["d"] - p["end"]["rest"], 1).otherwise(0)
+    digits = (p["end"]["digits"] + up).cast("decimal(10,0)")
+    return _amount(p["whole"], digits, p["negative"])
 
 
 def _billionths(c: Column) -> Column:
@@ -130,9 +206,9 @@ def _amount(whole: Column, billionths: Column, negative: Column) -> Column:
 
 def ratio_or_zero(numerator: Column, denominator: Column) -> Column:
     """Ratio where the denominator is above zero, else 0. A NULL numerator stays NULL."""
-    return F.when(denominator > 0, ratio(numerator, denominator)).otherwise(
-        F.lit(0).cast(NUMERIC)
-    )
+    # not under a condition, where the generated code would compute its parts again and again
+    above = F.when(denominator > 0, denominator)
+    return F.coalesce(ratio(numerator, above), F.when(above.isNull(), F.lit(0).cast(NUMERIC)))
 
 
 def fill_zero(c: Column) -> Column:

@@ -1,4 +1,5 @@
 import random
+import time
 from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 from pyspark.sql import functions as F
@@ -36,6 +37,8 @@ def test_ratio_is_exact(spark):
         return Decimal(rng.randint(low, high)) / 10 ** rng.randint(0, 4)
 
     pairs = [(amount(-(10**14), 10**14), amount(1, 10**12)) for _ in range(5000)]
+    pairs += [(amount(-(10**9), 10**9), amount(1, 10**5) * rng.choice((1, -1))) for _ in range(5000)]
+    pairs += [(Decimal(n) / 10**4, Decimal(d)) for n in range(-9, 10) for d in (-16, -3, 3, 16, 5 * 10**4)]
     pairs += [(Decimal(n), Decimal(d)) for n, d in [(1, 2 * 10**9), (-3, 2 * 10**9), (-7, 3)]]
     pairs += [(Decimal(10**15), Decimal("0.01")), (Decimal(1), 3 * NANO)]
     df = spark.createDataFrame(pairs, "n decimal(38,9), d decimal(38,9)")
@@ -104,3 +107,19 @@ def test_wide_amounts_are_exact_or_null(spark):
 def test_a_ratio_by_zero_is_null(spark):
     df = spark.sql("select cast(1 as decimal(38,9)) as n, cast(0 as decimal(38,9)) as d")
     assert df.select(measures.ratio(F.col("n"), F.col("d"))).first()[0] is None
+
+
+def test_ratios_of_a_thousand_and_more_compile_and_are_quick(spark):
+    """Most quotients of real amounts are above a thousand; they are divided natively."""
+    rows = spark.range(200_000).select(
+        ((F.col("id") * 7919 + 1_000_003) / 100).cast("decimal(38,9)").alias("n"),
+        ((F.col("id") % 97 + 1) / 7).cast("decimal(38,9)").alias("d"),
+    )
+    rows = rows.select("n", "d", measures.ratio(F.col("n"), F.col("d")).alias("r"))
+    start = time.perf_counter()
+    wrong = rows.where("abs(cast(r as double) / (cast(n as double) / cast(d as double)) - 1) > 1e-9 or r is null")
+    assert wrong.count() == 0
+    assert time.perf_counter() - start < 15
+    code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(rows._jdf.queryExecution().executedPlan())
+    assert "Found 1 WholeStageCodegen" in code
+    assert len(code) < 400_000
