@@ -1,3 +1,4 @@
+import os
 import random
 from datetime import datetime, timedelta, timezone
 
@@ -153,18 +154,11 @@ def test_a_run_that_stops_changes_nothing_and_can_run_again(spark, folder, monke
         history.update_history(spark, path, frame(spark, rows), "id", CHECKED, day(n), first=n == 0)
     before = content(history.read_history(spark, path))
     with monkeypatch.context() as broken:
-        writes = {"first write": 0, "second write": 1, "commit": 2}[step]
-        writer = type(frame(spark, runs[0]).write)
-        real, done = writer.parquet, []
-
-        def parquet(self, target, *args, **more):
-            if target.startswith(path):
-                if len(done) == writes:
-                    raise RuntimeError("stopped")
-                done.append(target)
-            return real(self, target, *args, **more)
-
-        broken.setattr(writer, "parquet", parquet)
+
+        def stop(*args, **more):
+            raise RuntimeError("stopped")
+
+        broken.setattr(history, {"first write": "_write_open", "second write": "_write_run", "commit": "_commit"}[step], stop)
         with pytest.raises(RuntimeError, match="stopped"):
             history.update_history(spark, path, frame(spark, runs[2]), "id", CHECKED, day(2), first=False)
     assert content(history.read_history(spark, path)) == before
@@ -175,3 +169,70 @@ def test_a_run_that_stops_changes_nothing_and_can_run_again(spark, folder, monke
         history.update_history(spark, path, frame(spark, runs[2]), "id", CHECKED, day(1), first=False)
     with pytest.raises(ValueError, match="a history"):
         history.update_history(spark, path, frame(spark, runs[2]), "id", CHECKED, day(5), first=True)
+
+
+def data_files(spark, path):
+    return {file: os.path.getmtime(file.removeprefix("file://").removeprefix("file:")) for file in path.inputFiles()}
+
+
+def test_buckets_in_which_no_key_moved_keep_their_files(spark, folder):
+    path = f"{folder}/history"
+    runs = [[(f"k{i}", "x", 0, "t") for i in range(2000)]]
+    bucket = spark.range(2000).select("id", F.pmod(F.hash(F.concat(F.lit("k"), "id")), F.lit(64)).alias("b"))
+    few = {r["id"] for r in bucket.where("b in (3, 40)").limit(20).collect()}
+    runs.append([(f"k{i}", "y" if i in few else "x", 0, "t") for i in range(2000)])
+    runs.append(runs[-1])  # nothing moves
+    runs.append([(f"k{i}", "y" if i in few else "x", int(i == 7), "t") for i in range(2100)])
+    times = []
+    for n, rows in enumerate(runs):
+        history.update_history(spark, path, frame(spark, rows), "id", CHECKED, day(n), first=n == 0, buckets=64)
+        times.append(data_files(spark, history.read_open(spark, path).where("id is not null")))
+    kept = {f: t for f, t in times[0].items() if f in times[1]}
+    assert len(times[0]) == 64 and len(kept) == 62 and all(times[1][f] == t for f, t in kept.items())
+    assert times[2] == times[1]
+    assert content(history.read_history(spark, path)) == model(runs)
+    assert history.read_open(spark, path).count() == 2100
+
+
+def test_the_history_is_compared_without_a_shuffle(spark, folder):
+    path = f"{folder}/history"
+    rows = [(f"k{i}", "x", 0, "t") for i in range(500)]
+    history.update_history(spark, path, frame(spark, rows), "id", CHECKED, day(0), first=True)
+    opened = history._open_table(spark, path, history._last_commit(spark, path))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keyed = frame(spark, rows).repartition(history.MIN_BUCKETS, "id")
+        plan = history._moved_keys(opened, keyed, "id", CHECKED)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    assert plan.count("Exchange") == 1  # the source's
+
+
+def test_versions_without_a_key_are_only_added(spark, folder):
+    path = f"{folder}/history"
+    runs = [[("a", "x", 0, "t")] + [(None, "x", i, "t") for i in range(30)], [("a", "x", 0, "t"), (None, "y", 1, "t")]]
+    for n, rows in enumerate(runs):
+        history.update_history(spark, path, frame(spark, rows), "id", CHECKED, day(n), first=n == 0)
+    assert history.read_open(spark, path).count() == history.read_history(spark, path).count() == 32
+
+
+def test_what_a_run_left_without_a_commit_is_never_read(spark, folder, monkeypatch):
+    """Also when a later run is committed and the stopped one is not run again."""
+    path = f"{folder}/history"
+    runs = [[("a", "x", 0, "t")], [("a", "y", 0, "t")], [("a", "z", 0, "t")]]
+    history.update_history(spark, path, frame(spark, runs[0]), "id", CHECKED, day(0), first=True)
+    with monkeypatch.context() as broken:
+        broken.setattr(history, "_commit", lambda *a: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError):
+            history.update_history(spark, path, frame(spark, runs[1]), "id", CHECKED, day(1), first=False)
+    history.update_history(spark, path, frame(spark, runs[2]), "id", CHECKED, day(2), first=False)
+    assert sorted((r.stage, r.valid_to is None) for r in history.read_history(spark, path).collect()) == [("x", False), ("z", True)]
+
+
+def test_folders_go_when_two_commits_do_without_them(spark, folder):
+    path = f"{folder}/history"
+    for n in range(5):
+        history.update_history(spark, path, frame(spark, [("a", "x", n, "t")]), "id", CHECKED, day(n), first=n == 0, buckets=1)
+    assert len(os.listdir(f"{path}/{history.OPEN}/{history.BUCKET}=0")) == 2
+    assert history.read_history(spark, path).count() == 5
