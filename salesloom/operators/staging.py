@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,9 +26,13 @@ def _staged(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/staged/{spark.sparkContext.applicationId}"
 
 
+# The folders of the steps that are under way, the innermost last.
+_steps: list[str] = []
+
+
 def staged_path(spark: SparkSession, label: str) -> str:
     """A new folder for what an application stores by itself; ``clear_staged`` removes it, too."""
-    return f"{_staged(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_steps[-1] if _steps else _staged(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -41,6 +47,26 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def step(spark: SparkSession, label: str) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A step of a job: what it stages is removed when it ends, but for its result.
+
+    Gives a function that stores the result, which is to be called before the step ends.
+    """
+    target, folder = staged_path(spark, f"{label}_result"), staged_path(spark, label)
+
+    def keep(df: DataFrame) -> DataFrame:
+        df.write.parquet(target)
+        return spark.read.schema(df.schema).parquet(target)
+
+    _steps.append(folder)
+    try:
+        yield keep
+    finally:
+        _steps.remove(folder)
+        files.remove(spark, folder)
+
+
 def clear_staged(spark: SparkSession) -> None:
     """Remove the tables that this application has staged; call it when its results are stored."""
     files.remove(spark, _staged(spark))
