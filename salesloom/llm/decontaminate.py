@@ -107,27 +107,28 @@ def phrases_of(tests: DataFrame, id_col: str = "item_id", text_col: str = "text"
     return phrases, cut.join(phrases, "terms").select("phrase", "item")
 
 
-def _ranked(postings: DataFrame, phrases: DataFrame) -> DataFrame:
-    """(phrase, at, term, size, place) of phrases whose terms all occur, from the rarest term on."""
+def _ranked(postings: DataFrame, phrases: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(phrase, at, term, size, place) of phrases whose terms all occur, from the rarest term on; and the
+    test terms that occur, stored with their counts, so that Spark knows how few they are."""
     terms = phrases.select("phrase", F.size("terms").alias("size"), F.posexplode("terms").alias("at", "term"))
     known = terms.select("term").distinct()
     counts = stage(postings.join(known, "term", "left_semi").groupBy("term").count(), "term_postings")
     rarest = Window.partitionBy("phrase").orderBy("count", "at")
     found = terms.join(counts, "term").withColumn("found", F.count(F.lit(1)).over(Window.partitionBy("phrase")))
     placed = found.where("found = size").withColumn("place", F.row_number().over(rarest))
-    return stage(placed.select("phrase", "at", "term", "size", "place"), "ranked_terms")
+    return stage(placed.select("phrase", "at", "term", "size", "place"), "ranked_terms"), counts.select("term")
 
 
-def _of_rows(postings: DataFrame, ranked: DataFrame, rows: DataFrame) -> DataFrame:
+def _of_rows(postings: DataFrame, terms: DataFrame, rows: DataFrame) -> DataFrame:
     """Postings of the test terms in some rows; the rows, a few bytes each, come to their buckets."""
     wanted = rows.select("row").distinct().hint("shuffle_hash")
     mine = postings.where("term IS NOT NULL").join(wanted, "row", "left_semi")
-    return mine.join(ranked.select("term").distinct(), "term", "left_semi").select("row", "term", "pos")
+    return mine.join(terms, "term", "left_semi").select("row", "term", "pos")
 
 
 def exact_matches(postings: DataFrame, phrases: DataFrame) -> DataFrame:
     """(row, phrase, start, size) of every place where a phrase stands word by word."""
-    ranked = _ranked(postings, phrases)
+    ranked, terms = _ranked(postings, phrases)
     lists = ranked.where(F.col("place") <= RAREST)
     first = (
         postings.join(lists, "term")
@@ -138,7 +139,7 @@ def exact_matches(postings: DataFrame, phrases: DataFrame) -> DataFrame:
     )
     first = stage(first.select("row", "phrase", "start", "size"), "phrase_candidates")
     due = first.join(ranked.select("phrase", "at", "term"), "phrase").withColumn("pos", F.col("start") + F.col("at"))
-    met = due.join(_of_rows(postings, ranked, first), ["row", "pos", "term"])
+    met = due.join(_of_rows(postings, terms, first), ["row", "pos", "term"])
     return (
         met.groupBy("row", "phrase", "start")
         .agg(F.count(F.lit(1)).alias("met"), F.min("size").alias("size"))
@@ -154,7 +155,7 @@ def near_matches(postings: DataFrame, phrases: DataFrame, width: int) -> DataFra
     with those of its own and the neighbouring blocks.
     """
     single = stage(phrases.select("phrase", F.array_distinct("terms").alias("terms")), "phrase_terms")
-    ranked = _ranked(postings, single)
+    ranked, terms = _ranked(postings, single)
     block = F.floor(F.col("pos") / width).cast("int")
     around = F.explode(F.array(block - 1, block, block + 1)).alias("block")
     anchors = (
@@ -168,7 +169,7 @@ def near_matches(postings: DataFrame, phrases: DataFrame, width: int) -> DataFra
     first = stage(paired.unionAll(lone).distinct(), "near_candidates")
     due = first.select("row", "phrase", "anchor", "size", F.explode(F.array(*[F.floor(F.col("anchor") / width).cast("int") + d for d in (-1, 0, 1)])).alias("block"))
     due = due.join(ranked.select("phrase", "term"), "phrase")
-    listed = _of_rows(postings, ranked, first).withColumn("block", block)
+    listed = _of_rows(postings, terms, first).withColumn("block", block)
     met = due.join(listed, ["row", "term", "block"]).where(within)
     # a posting lies in the spans that start at most width - 1 words before it and hold the anchor
     starts = F.sequence(F.greatest("pos", "anchor") - (width - 1), F.least("pos", "anchor"))
