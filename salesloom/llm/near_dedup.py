@@ -3,7 +3,8 @@
 1. Each text becomes a digest of its word sequence and the registers of its shingle set. Texts with the
    same words are one class; only one text of a class goes on.
 2. Five registers make a band; classes that agree in one of 24 bands are drawn to the band's least
-   class. At a similarity of 0.85 a pair misses all bands with a chance below 1e-6.
+   class. At a similarity of 0.85 a pair misses all bands with a chance below 1e-5. Below 0.85 four
+   registers make one of 30 bands; at 0.8 a pair misses them with a chance below 1e-6.
 3. Connected components of these draws are groups of candidates. A group is cut into blocks of 256 and
    every pair of blocks is compared in a task of its own, so a hot group is spread and its pairs never
    leave the task: sizes and the joint likelihood of the registers rule pairs out (five standard errors
@@ -36,10 +37,11 @@ from salesloom.llm.components import components
 from salesloom.llm.shingles import REGISTERS, joint_estimate, registers, shingle_sets
 from salesloom.operators.staging import stage
 
-#: Registers per band, classes per block, and the least similarity in percent.
-BAND = 5
+#: Registers per band from a similarity of 85 percent on and below it.
+BAND, LOOSE_BAND = 5, 4
+#: Classes per block, and the least similarity in percent.
 BLOCK = 256
-PERCENT = 85
+PERCENT = 80
 
 _SKETCHED = pa.schema(
     [("doc_id", pa.int64()), ("class", pa.binary()), ("n_shingles", pa.int64()), ("registers", pa.binary())]
@@ -85,15 +87,16 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
-def candidate_groups(classes: DataFrame) -> DataFrame:
+def candidate_groups(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(class, root) of the classes that share a band with another one, directly or by others."""
-    n = REGISTERS // BAND
+    band = BAND if percent >= 85 else LOOSE_BAND
+    n = REGISTERS // band
     bands = classes.select(
         "class",
         F.posexplode(
             F.transform(
                 F.sequence(F.lit(0), F.lit(n - 1)),
-                lambda k: F.substring("registers", k * (2 * BAND) + 1, F.lit(2 * BAND)),
+                lambda k: F.substring("registers", k * (2 * band) + 1, F.lit(2 * band)),
             )
         ).alias("band", "value"),
     )
@@ -244,7 +247,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perce
         .agg(F.min("doc_id").alias("doc_id"), F.min("registers").alias("registers")),
         "near_classes",
     )
-    drawn = stage(candidate_groups(classes), "near_candidates")
+    drawn = stage(candidate_groups(classes, percent), "near_candidates")
     links = stage(links_of(docs, drawn, classes.drop("registers"), id_col, text_col, percent), "near_links")
     linked = components(links).withColumnRenamed("node", "class")
     named = classes.select("class", "doc_id").join(linked, "class", "left")

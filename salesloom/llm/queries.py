@@ -77,7 +77,7 @@ def op6_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.dedup(read(spark, sf_dir, "documents"))
+    return near_dedup.dedup(read(spark, sf_dir, "documents"), percent=85)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

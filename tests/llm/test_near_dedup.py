@@ -20,7 +20,7 @@ def verdicts(df):
 def test_whole_table_equals_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
-    got = near_dedup.dedup(docs)
+    got = near_dedup.dedup(docs, percent=85)
     assert verdicts(got) == brute.near_components(rows)
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got.collect())
 
@@ -37,7 +37,7 @@ def test_edges(spark):
         (None, base), (7, "É é"), (8, "é é"),
     ]
     df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], DOCS + ", class string, Registers string")
-    got = [(r["doc_id"], r["component_id"], r["kept"]) for r in near_dedup.dedup(df).collect()]
+    got = [(r["doc_id"], r["component_id"], r["kept"]) for r in near_dedup.dedup(df, percent=85).collect()]
     assert sorted(got, key=str) == sorted(
         [
             (1, 1, True), (2, 2, True), (3, 3, True), (4, 4, True), (5, 4, False), (6, 6, True),
@@ -62,7 +62,7 @@ def test_large_group_in_blocks(spark, monkeypatch):
         for k in random.integers(0, 120, random.integers(0, 4)):
             words[k] = f"v{random.integers(0, 50)}"
         rows.append((i, " ".join(words)))
-    got = verdicts(near_dedup.dedup(spark.createDataFrame(rows, DOCS)))
+    got = verdicts(near_dedup.dedup(spark.createDataFrame(rows, DOCS), percent=85))
     assert got == brute.near_components(rows)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from salesloom.llm import mixing, near_dedup, packing
-from salesloom.operators.staging import stage
+from salesloom.operators.staging import _staged, stage
 
 SF = f"{oracle.TESTDATA}/sf0.01"
 
@@ -34,7 +34,7 @@ def test_stages_in_turn(spark):
     assert spread.where("n >= 3").count() == 0
 
     before, after = kept["near_dedup"]
-    groups = brute.near_components([(r["doc_id"], r["text"]) for r in before.select("doc_id", "text").collect()])
+    groups = brute.near_components([(r["doc_id"], r["text"]) for r in before.select("doc_id", "text").collect()], 80)
     assert {r["doc_id"] for r in after.select("doc_id").collect()} == {root for _, root in groups.values()}
 
     before, after = kept["mix_sources"]
@@ -65,7 +65,36 @@ def test_odd_documents(spark):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, f"{oracle.TESTDATA}/sf0.001").count() > 0
-    assert near_dedup.PERCENT == 85 and len(corpus_pipeline.STAGES) == 5
+    assert near_dedup.PERCENT == 80 and len(corpus_pipeline.STAGES) == 5
+
+
+def staged_names(spark):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_staged(spark))
+    listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return {str(s.getPath().getName()) for s in listed}
+
+
+def test_run_keeps_the_results_of_its_stages_only(spark):
+    spark.range(1).transform(lambda df: stage(df, "first"))
+    before = staged_names(spark)
+    corpus_pipeline.run(spark, f"{oracle.TESTDATA}/sf0.001").count()
+    left = {name.rsplit("-", 1)[0] for name in staged_names(spark) - before}
+    assert left == {f"{name}_result" for name, _ in corpus_pipeline.STAGES[:-1]}
+
+
+def test_near_copies_at_eighty_percent(spark):
+    """Pairs from 0.78 to 0.86, against brute force over sf0.01 and made ones."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    made = []
+    for k in range(120):
+        words = [f"p{k}w{i}" for i in range(200)]
+        edited = [w if i % 50 or i // 50 >= k % 5 else "x" for i, w in enumerate(words)]
+        made += [(10**6 + 2 * k, " ".join(words)), (10**6 + 2 * k + 1, " ".join(edited))]
+    both = docs.unionAll(spark.createDataFrame(made, "doc_id long, text string"))
+    rows = [(r["doc_id"], r["text"]) for r in both.collect()]
+    for percent in (80, 85):
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.dedup(both, percent=percent).collect()}
+        assert got == brute.near_components(rows, percent)
 
 
 ODD = "doc_id long, text string, lang string, source string, n_chars long, row string"
