@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from salesloom.llm import line_dedup, mixing, near_dedup, packing, toxicity
 from salesloom.llm.common import fresh, read
-from salesloom.operators.staging import stage
+from salesloom.operators.staging import stage, step
 
 #: A word sequence cannot be tagged in SQL, so the pipeline is tested against plain versions.
 ORACLE_SQL = None
@@ -44,7 +44,8 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     ids = rows.select(row, F.col("doc_id").alias("id"))
     first = F.min(F.struct(F.col("id").isNull(), "id", row))[row].alias(row)
     kept = stage(groups.join(ids, row).groupBy("component_id").agg(first).select(row), "near_kept")
-    return rows.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # the same join at every size: the table of kept rows grows with the texts
+    return rows.join(kept.hint("merge"), row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def whole_copies(mixed: DataFrame, row: str) -> DataFrame:
@@ -74,7 +75,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows, row = numbered(docs, "mix_rows")
     taken = whole_copies(mixing.mix(rows, row_col=row), row)
     taken = stage(taken.where("copies > 0"), "mix_copies")
-    left, right = rows.alias("d"), taken.alias("t")
+    left, right = rows.alias("d"), taken.hint("merge").alias("t")
     met = left.join(right, F.col(f"d.{row}") == F.col(f"t.{row}"))
     repeat = F.explode(F.sequence(F.lit(1).cast("long"), F.col("t.copies"))).alias(fresh(rows, "copy"))
     return met.select("d.*", repeat).select(*[F.col(f"`{c}`") for c in docs.columns])
@@ -95,8 +96,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the documents; what each returns is stored for the next."""
+    """Apply all stages to the documents; what each returns is stored for the next.
+
+    What a stage stores on its way is removed as soon as its result is stored.
+    """
     docs = read(spark, sf_dir, "documents")
     for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), f"pipeline_{name}")
+        with step(spark, name) as keep:
+            docs = keep(function(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
