@@ -111,7 +111,7 @@ def _ranked(postings: DataFrame, phrases: DataFrame) -> tuple[DataFrame, DataFra
     """(phrase, at, term, size, place) of phrases whose terms all occur, from the rarest term on; and the
     test terms that occur, stored with their counts, so that Spark knows how few they are."""
     terms = phrases.select("phrase", F.size("terms").alias("size"), F.posexplode("terms").alias("at", "term"))
-    known = terms.select("term").distinct()
+    known = stage(terms.select("term").distinct(), "test_terms")  # stored, so that its size is known
     counts = stage(postings.join(known, "term", "left_semi").groupBy("term").count(), "term_postings")
     rarest = Window.partitionBy("phrase").orderBy("count", "at")
     found = terms.join(counts, "term").withColumn("found", F.count(F.lit(1)).over(Window.partitionBy("phrase")))
