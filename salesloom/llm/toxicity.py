@@ -54,8 +54,8 @@ _SCHEMA = pa.schema(
 
 
 def held_out(id_col: str = "doc_id") -> Column:
-    """Whether an id belongs to the fold that is not learnt from."""
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1
+    """Whether an id belongs to the fold that is not learnt from; a null id does not."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 @dataclass

@@ -10,7 +10,8 @@ distinct URLs with the smallest hash). Rules are a list of the caller's, part of
 
 Defined results: a null URL and one without "://" have an empty host and path and are judged by the
 method, by its intercept. Without labels the verdict is allow; with one verdict only it is that one.
-Other columns are kept only if named; repeated rows are judged each.
+Other columns stay, whatever their names, but for those called ``rule`` and ``verdict`` in any case: the
+results take their place. Repeated rows are judged each.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import ascii_lower
+from salesloom.llm.common import ascii_lower, fresh
 from salesloom.operators.staging import stage
 
 Rule = tuple[str, str, str]
@@ -48,8 +49,8 @@ def longest_rule(rules: list[Rule], host: Column, path: Column) -> tuple[Column,
     return rule, verdict
 
 
-def _with_ngrams(urls: DataFrame) -> DataFrame:
-    """Add ``ngrams``: those of the host, with its ends marked, and of the path."""
+def _with_ngrams(urls: DataFrame, column: str) -> DataFrame:
+    """Add a column of n-grams: those of the host, with its ends marked, and of the path."""
 
     def grams(mark: str, text: Column, n: int) -> Column:
         found = F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{n}}}))"), F.lit(1))
@@ -57,7 +58,7 @@ def _with_ngrams(urls: DataFrame) -> DataFrame:
 
     host = F.when(F.col("host") != "", F.concat(F.lit("^"), "host", F.lit("$"))).otherwise("")
     parts = [grams("h", host, n) for n in NGRAMS] + [grams("p", F.col("path"), n) for n in NGRAMS]
-    return urls.withColumn("ngrams", F.concat(*parts))
+    return urls.withColumn(column, F.concat(*parts))
 
 
 def rule_labels(urls: DataFrame, rules: list[Rule], sample: int = SAMPLE) -> DataFrame:
@@ -74,23 +75,32 @@ def rule_labels(urls: DataFrame, rules: list[Rule], sample: int = SAMPLE) -> Dat
 
 def judge(urls: DataFrame, rules: list[Rule], labelled: DataFrame) -> DataFrame:
     """Add ``rule`` and ``verdict`` to rows with host and path; other columns stay."""
+    others = [F.col(f"`{c}`") for c in urls.columns if c.lower() not in ("rule", "verdict")]
+    urls = urls.select(*others)
     labelled = stage(labelled.select("host", "path", "verdict"), "url_labels")
     verdicts = sorted(r["verdict"] for r in labelled.select("verdict").distinct().collect())
     rule, decided = longest_rule(rules, F.col("host"), F.col("path"))
     if len(verdicts) < 2:
         learnt = F.lit(verdicts[0] if verdicts else "allow")
         return urls.withColumn("rule", rule).withColumn("verdict", F.coalesce(decided, learnt))
-    terms = HashingTF(inputCol="ngrams", outputCol="terms", numFeatures=SLOTS, binary=True)
+    names = ("ngrams", "terms", "prediction", "probability", "rawPrediction")
+    ngrams, features, prediction, probability, raw = (fresh(urls, name) for name in names)
+    terms = HashingTF(inputCol=ngrams, outputCol=features, numFeatures=SLOTS, binary=True)
     # one sorted partition of a bounded table: sums run in one order, so reruns agree
-    rows = _with_ngrams(labelled).select(
-        "host", "path", "ngrams", (F.col("verdict") == "block").cast("double").alias("label")
+    rows = _with_ngrams(labelled, ngrams).select(
+        "host", "path", ngrams, (F.col("verdict") == "block").cast("double").alias("label")
     )
     rows = rows.coalesce(1).sortWithinPartitions("host", "path")
     model = LogisticRegression(
-        featuresCol="terms", labelCol="label", maxIter=40, regParam=1e-3, standardization=False
+        featuresCol=features,
+        labelCol="label",
+        predictionCol=prediction,
+        probabilityCol=probability,
+        rawPredictionCol=raw,
+        maxIter=40,
+        regParam=1e-3,
+        standardization=False,
     ).fit(terms.transform(rows))
-    judged = model.transform(terms.transform(_with_ngrams(urls)))
-    learnt = F.when(F.col("prediction") == 1.0, "block").otherwise("allow")
-    return judged.select(
-        *urls.columns, rule.alias("rule"), F.coalesce(decided, learnt).alias("verdict")
-    )
+    judged = model.transform(terms.transform(_with_ngrams(urls, ngrams)))
+    learnt = F.when(F.col(prediction) == 1.0, "block").otherwise("allow")
+    return judged.select(*others, rule.alias("rule"), F.coalesce(decided, learnt).alias("verdict"))

@@ -70,3 +70,18 @@ def test_few_labels_and_no_rows(spark):
     assert {r["verdict"] for r in judged(spark, ["http://a.com/en/", None])} == {"allow"}
     assert {r["verdict"] for r in judged(spark, ["http://a.net/x", "http://a.com/en/"])} == {"block"}
     assert judged(spark, []) == []
+
+
+def test_extra_columns_of_any_name(spark):
+    urls = [u for u in URLS if u] + ["http://a.com/en/", "http://a.net/x"]
+    names = ["ngrams", "terms", "prediction", "probability", "rawPrediction", "Label", "a.b"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    parts = df.select("page_id", url_filter.host_of(F.col("url")).alias("host"), url_filter.path_of(F.col("url")).alias("path"))
+    labels = url_filter.rule_labels(parts, URL_RULES)
+    extra = parts.select("*", *[F.lit(n).alias(n) for n in (*names, "rule", "Verdict")])
+    for tried in (labels, labels.where("verdict = 'block'")):  # learnt, and one verdict only
+        got = url_filter.judge(extra, URL_RULES, tried)
+        assert got.columns == ["page_id", "host", "path", *names, "rule", "verdict"]
+        plain_rows = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.judge(parts, URL_RULES, tried).collect()}
+        for r in got.collect():
+            assert [r[n] for n in names] == names and (r["rule"], r["verdict"]) == plain_rows[r["page_id"]]
