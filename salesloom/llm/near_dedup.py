@@ -12,8 +12,9 @@
    connect something new are emitted, fewer than there are classes in the two blocks.
 4. Connected components of the links; the smallest id of each stays.
 
-Scale: texts are read twice; the second time they are shuffled by id to meet the classes that have
-candidates at all. What goes into blocks is 8 bytes per shingle of those classes. Sums and minima
+Scale: texts are read twice; the second time they are shuffled by id and a hash of the text to meet the
+classes that have candidates at all, so rows without an id or with the same one meet their own class
+only. What goes into blocks is 8 bytes per shingle of those classes. Sums and minima
 are combined before shuffles and all joins are between shuffled sides, which adaptive execution
 can split. A group of n classes costs n * n / 512 comparisons of blocks' members, spread over tasks.
 
@@ -44,7 +45,13 @@ BLOCK = 256
 PERCENT = 80
 
 _SKETCHED = pa.schema(
-    [("doc_id", pa.int64()), ("class", pa.binary()), ("n_shingles", pa.int64()), ("registers", pa.binary())]
+    [
+        ("doc_id", pa.int64()),
+        ("text_hash", pa.int64()),
+        ("class", pa.binary()),
+        ("n_shingles", pa.int64()),
+        ("registers", pa.binary()),
+    ]
 )
 _SETS = pa.schema(
     [
@@ -68,22 +75,29 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """text, doc_id and a hash of the text."""
+    text = F.col(text_col).cast("string")
+    return docs.select(text.alias("text"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"))
+
+
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class, n_shingles and registers (class and registers null without words)."""
+    """doc_id, text_hash, class, n_shingles and registers (class and registers null without words)."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
+                known = zip(*(c.to_pylist() for c in part.columns[1:]))
                 rows = [
-                    (i, digest, len(found), registers(found).tobytes() if digest else None)
-                    for i, (found, digest) in zip(part.column(0).to_pylist(), shingle_sets(_bytes_of(part.column(1))))
+                    (*row, digest, len(found), registers(found).tobytes() if digest else None)
+                    for row, (found, digest) in zip(known, shingle_sets(_bytes_of(part.column(0))))
                 ]
                 yield _batch(rows, _SKETCHED)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, class binary, n_shingles long, registers binary"
+    return _texts(docs, id_col, text_col).mapInArrow(
+        run, "doc_id long, text_hash long, class binary, n_shingles long, registers binary"
     )
 
 
@@ -111,24 +125,27 @@ def candidate_groups(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Add shingles and registers to ``wanted`` (class, its doc_id, root, blocks, own), read from the text."""
+    """Add shingles and registers to ``wanted`` (class, one of its rows, root, blocks, own), read from the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 known = zip(*(c.to_pylist() for c in part.columns[1:]))
-                rows = [
-                    (*want, found.tobytes(), registers(found).tobytes())
-                    for want, (found, digest) in zip(known, shingle_sets(_bytes_of(part.column(0))))
-                    if want[0] == digest  # an id may stand for several texts
-                ]
+                rows = []
+                for want, (found, digest) in zip(known, shingle_sets(_bytes_of(part.column(0)))):
+                    # copies under one id follow each other: one of them goes on
+                    if want[0] == digest != last:
+                        rows.append((*want, found.tobytes(), registers(found).tobytes()))
+                        last = digest
                 yield _batch(rows, _SETS)
 
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = _texts(docs, id_col, text_col)
     # the same join at every size: what is wanted grows with the texts
     wanted = wanted.hint("merge")
-    met = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"]))
+    same_row = texts["doc_id"].eqNullSafe(wanted["doc_id"]) & (texts["text_hash"] == wanted["text_hash"])
+    met = texts.join(wanted, same_row)
     return met.select("text", "class", "root", "blocks", "own").mapInArrow(
         run, "class binary, root binary, blocks int, own int, shingles binary, registers binary"
     )
@@ -222,7 +239,8 @@ def links_of(docs: DataFrame, drawn: DataFrame, classes: DataFrame, id_col: str,
         .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
         .withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     )
-    wanted = stage(classes.join(placed, "class").select("class", "doc_id", "root", "blocks", "own"), "near_wanted")
+    wanted = classes.join(placed, "class").select("class", "doc_id", "text_hash", "root", "blocks", "own")
+    wanted = stage(wanted, "near_wanted")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     blocks = (
         _sets_of(docs, wanted, id_col, text_col)
@@ -241,10 +259,12 @@ def links_of(docs: DataFrame, drawn: DataFrame, classes: DataFrame, id_col: str,
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (its smallest id) and kept."""
     sketched = stage(sketches(docs, id_col, text_col), "near_sketches")
+    row = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
     classes = stage(
         sketched.where("class IS NOT NULL")
         .groupBy("class")
-        .agg(F.min("doc_id").alias("doc_id"), F.min("registers").alias("registers")),
+        .agg(F.min(row).alias("row"), F.min("registers").alias("registers"))
+        .select("class", "row.doc_id", "row.text_hash", "registers"),
         "near_classes",
     )
     drawn = stage(candidate_groups(classes, percent), "near_candidates")

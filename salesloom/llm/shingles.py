@@ -13,6 +13,8 @@ WORDS = 5
 REGISTERS = 120
 BASE = 1.001
 LARGEST = 65535
+#: Added to every register, so that none is cut at 0: waits end at log(2 ** 53), 3605 steps below it.
+OFFSET = 4000
 #: Bytes of text worked on at once (one longer text is a block of its own).
 BLOCK = 1 << 20
 
@@ -107,7 +109,8 @@ def shingle_sets(texts: list[bytes]) -> Iterator[tuple[np.ndarray, bytes | None]
 def registers(shingles: np.ndarray) -> np.ndarray:
     """SetSketch registers: per register the least of exponential hashes, on a logarithmic scale.
 
-    floor(1 - log_b(least)), cut to 0 .. ``LARGEST``. Registers of a union are the larger of both.
+    floor(``OFFSET`` + 1 - log_b(least)), between 0 and ``LARGEST`` for any set. Registers of a union are
+    the larger of both.
     """
     least = np.full(REGISTERS, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(shingles), 512):
@@ -115,7 +118,7 @@ def registers(shingles: np.ndarray) -> np.ndarray:
         np.minimum(least, drawn.min(0), out=least)
     uniform = (least.astype(np.float64) + 0.5) / 2.0**64
     waiting = -np.log1p(-np.minimum(uniform, 1 - 2.0**-53))
-    return np.clip(np.floor(1 - np.log(waiting) / np.log(BASE)), 0, LARGEST).astype("<u2")
+    return np.clip(np.floor(OFFSET + 1 - np.log(waiting) / np.log(BASE)), 0, LARGEST).astype("<u2")
 
 
 def joint_estimate(larger: np.ndarray, smaller: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:

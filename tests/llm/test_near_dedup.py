@@ -6,6 +6,7 @@ import oracle
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from salesloom.llm import components, near_dedup, shingles
 
@@ -66,6 +67,32 @@ def test_large_group_in_blocks(spark, monkeypatch):
     assert got == brute.near_components(rows)
 
 
+def test_short_texts_share_no_band(spark):
+    rows = [(i, f"left{i} right{i * 7}") for i in range(3000)]
+    sketched = near_dedup.sketches(spark.createDataFrame(rows, DOCS))
+    for percent in (80, 85):
+        assert near_dedup.candidate_groups(sketched.select("class", "registers"), percent).count() == 0
+    kept = [shingles.registers(np.array([i], np.uint64)) for i in range(2000)]
+    assert min(r.min() for r in kept) > 0 and max(r.max() for r in kept) < shingles.LARGEST
+
+
+def test_rows_without_an_id_or_with_one_id_meet_their_own_class_only(spark):
+    """Pairs of near copies, a third of the rows without an id and a third with the same one."""
+    rows = []
+    for i in range(120):
+        words = [f"w{i}x{k}" for k in range(60)]
+        for text in (" ".join(words), " ".join([*words[:-1], "other"]), " ".join(words)):
+            rows.append(((None, 5, 1000 + i)[i % 3], text))
+    docs = spark.createDataFrame(rows, DOCS)
+    sketched = near_dedup.sketches(docs)
+    row = "min(struct(doc_id is null, doc_id, text_hash)) AS row"
+    classes = sketched.groupBy("class").agg(F.expr(row)).select("class", "row.doc_id", "row.text_hash")
+    wanted = classes.select("*", *[F.lit(b"r").alias("root"), F.lit(1).alias("blocks"), F.lit(0).alias("own")])
+    assert near_dedup._sets_of(docs, wanted, "doc_id", "text").count() == 240
+    got = sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"] or 0) for r in near_dedup.dedup(docs).collect())
+    assert got == sorted((d or 0, 56, d or 0) for d, _ in rows)
+
+
 def test_registers_merge():
     sets = [np.arange(a, b, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) for a, b in ((0, 500), (300, 900), (0, 900))]
     one, two, union = map(shingles.registers, sets)
