@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import partial
+from threading import Event
 
 from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +22,8 @@ from salesloom.sources.readers import read_api_envelope, read_grid, stamp, strin
 from salesloom.sources.tables import ensure_database, land, replace_table
 
 STAGING = "staging"
+# Sources that are loaded at the same time.
+CONCURRENT = 8
 REPORT = "source string, table string, status string, rows bigint, error string"
 
 log = logging.getLogger(__name__)
@@ -122,20 +128,61 @@ def run_sources(
     sources: Iterable[ApiSource | GridSource],
     raw_root: str,
     run_time: datetime | None = None,
+    concurrent: int = CONCURRENT,
 ) -> DataFrame:
-    """Load all sources; gives one row per source with its status and row count."""
+    """Load all sources, some at the same time; gives one row per source with its status and row count.
+
+    The report keeps the order of the sources. Those that write the same table or entity run one
+    after the other, so the last one stays, as if all did. A failure that stops the job lets the
+    loads that are under way end and starts no other.
+    """
     run_time = run_time or datetime.now(timezone.utc)
     ensure_database(spark, STAGING)
-    report = []
+    loads: list[tuple[set[str], Callable[[], tuple]]] = []
     for source in sources:
         if isinstance(source, ApiSource):
-            report.append(load_api(spark, source, raw_root, run_time))
+            targets = {f"table {source.table.lower()}", f"entity {source.entity}"}
+            loads.append((targets, partial(load_api, spark, source, raw_root, run_time)))
         else:
-            report += [
-                load_tab(spark, source.sheet, tab, path, run_time, source.multi_line)
-                for tab, path in source.tabs
-            ]
-    return spark.createDataFrame(report, REPORT)
+            for tab, path in source.tabs:
+                load = partial(load_tab, spark, source.sheet, tab, path, run_time, source.multi_line)
+                loads.append(({f"table {table_name(tab).lower()}"}, load))
+    return spark.createDataFrame(_at_once(spark, loads, concurrent), REPORT)
+
+
+def _lanes(targets: Sequence[set[str]]) -> list[list[int]]:
+    """Positions of loads by lane; loads that share a target, directly or by others, share a lane."""
+    lanes: list[tuple[set[str], list[int]]] = []
+    for i, names in enumerate(targets):
+        shared = [lane for lane in lanes if lane[0] & names]
+        lanes = [lane for lane in lanes if not lane[0] & names]
+        members = sorted([i, *(m for _, old in shared for m in old)])
+        lanes.append((names.union(*(n for n, _ in shared)), members))
+    return sorted(members for _, members in lanes)
+
+
+def _at_once(spark: SparkSession, loads: Sequence[tuple[set[str], Callable]], concurrent: int) -> list[tuple]:
+    """Results of all loads in their order; each lane is a thread and a pool of Spark's scheduler."""
+    results: list[tuple | None] = [None] * len(loads)
+    failed = Event()
+
+    def run(lane: list[int]) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"load-{lane[0]}")
+        for i in lane:
+            if failed.is_set():
+                return
+            try:
+                results[i] = loads[i][1]()
+            except BaseException:
+                failed.set()
+                raise
+
+    with ThreadPoolExecutor(max(1, concurrent)) as threads:
+        lanes = _lanes([targets for targets, _ in loads])
+        running = [threads.submit(inheritable_thread_target(spark)(run), lane) for lane in lanes]
+    for lane in running:
+        lane.result()
+    return results
 
 
 def report_totals(report: DataFrame) -> dict[str, int]:

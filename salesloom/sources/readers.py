@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime, timezone
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +21,10 @@ ENVELOPE_MEMBERS = ("success", "additional_data")
 SURPLUS = tuple(f"_surplus_{i}" for i in range(8))
 
 
+# More bytes than a file has: each file is read by one task of its own.
+WHOLE_FILE = 1 << 40
+
+
 class HeaderMismatch(ValueError):
     """Files of one grid have different headers."""
 
@@ -100,15 +106,15 @@ def read_grid(
     to ``partitions``. A row with a cell beyond the header is an error, and so are files of one
     folder whose headers differ.
     """
-    reader = spark.read.option("sep", sep).option("multiLine", multi_line).option("escape", '"')
+    reader = _grid_reader(spark, sep, multi_line)
     first = reader.option("header", False).csv(path).first()
     if first is None:
         return spark.createDataFrame([], T.StructType([]))
     names = [f"c{i}" for i in range(len(first))]
     layout = T.StructType([T.StructField(c, T.StringType()) for c in (*names, *SURPLUS)])
     cells = reader.option("header", True).option("enforceSchema", True).schema(layout).csv(path)
-    if len(files := cells.inputFiles()) > 1:
-        _same_headers(reader, files, first)
+    if len(cells.inputFiles()) > 1:
+        _same_headers(spark, path, sep, multi_line, first)
     surplus = F.concat_ws(sep, *SURPLUS)
     beyond = F.concat(F.lit(f"a row has cells beyond the {len(first)} headers: "), surplus)
     texts = [F.when(F.col(c) != "", F.col(c)).alias(c) for c in names]
@@ -118,12 +124,41 @@ def read_grid(
     return grid.repartition(partitions) if partitions else grid
 
 
-def _same_headers(reader, files: list[str], first) -> None:
-    """Refuse files whose first row differs from ``first``; looks at one row of each file."""
-    for file in files:
-        row = reader.option("header", False).csv(file).first()
-        if row is not None and tuple(row) != tuple(first):
-            raise HeaderMismatch(f"{file} has the headers {list(row)}, other files {list(first)}")
+def _grid_reader(spark: SparkSession, sep: str, multi_line: bool):
+    return spark.read.option("sep", sep).option("multiLine", multi_line).option("escape", '"')
+
+
+def _same_headers(spark: SparkSession, path: str, sep: str, multi_line: bool, first: Row) -> None:
+    """Refuse files whose first row differs from ``first``, by one query over all files.
+
+    Each file is a task, which stops after its first row. The settings for that are those of a
+    session of its own, so reads that run at the same time keep theirs. Files without rows have no
+    header; a header without a name, at the end, counts as absent.
+    """
+    session = spark.newSession()
+    for setting in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        session.conf.set(setting, WHOLE_FILE)
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
+
+    def first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    names = [f"c{i}" for i in range(len(first) + len(SURPLUS))]
+    layout = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    rows = _grid_reader(session, sep, multi_line).option("header", False).schema(layout).csv(path)
+    rows = rows.select(F.col("_metadata.file_path").alias("file"), F.array(*names).alias("header"))
+    expected = F.array(*[F.lit(c) for c in first], *[F.lit(None)] * len(SURPLUS)).cast("array<string>")
+    others = rows.mapInArrow(first_row, rows.schema).where(F.col("header") != expected)
+    # one row, whatever the number of files
+    found = others.agg(F.min(F.struct("file", "header")).alias("other")).first()["other"]
+    if found:
+        header = list(found["header"])
+        while header and header[-1] is None:
+            header.pop()
+        raise HeaderMismatch(f"{found['file']} has the headers {header}, other files {list(first)}")
 
 
 def stringify_all(df: DataFrame) -> DataFrame:

@@ -64,11 +64,15 @@ def _create(
     """A table over a folder. Partitions are found in its files, so they move with its location."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    statement = f"CREATE TABLE {name} ({columns}) USING parquet {parts} LOCATION '{path}'"
+    if not partition_by:  # loads that run at the same time leave the setting alone
+        spark.sql(statement)
+        return
     setting = "spark.sql.hive.manageFilesourcePartitions"
     before = spark.conf.get(setting, "true")
     spark.conf.set(setting, "false")
     try:
-        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {parts} LOCATION '{path}'")
+        spark.sql(statement)
     finally:
         spark.conf.set(setting, before)
 

@@ -1,5 +1,6 @@
 import json
 import os
+import threading
 from datetime import date, datetime, timezone
 from decimal import Decimal
 
@@ -203,6 +204,59 @@ def test_files_with_other_headers_are_refused(spark, folder):
     assert load.load_tab(spark, "s", "duas", f"{folder}/both", RUN, True)[2] == "error"
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_headers_of_many_files_are_checked_by_few_jobs(spark, folder, multi_line):
+    for i in range(120):
+        line = '"a\nb",1' if multi_line else "ana,1"
+        put(f"{folder}/many", f"p{i:03}.csv", f"vendedor,mes\n{line}\n" * 1 + f"x,{i}\n" * (i % 3))
+    put(f"{folder}/many", "none.csv", "")
+    context = spark.sparkContext
+    context.setJobGroup(f"headers {multi_line}", "")
+    try:
+        grid = readers.read_grid(spark, f"{folder}/many", multi_line=multi_line)
+        jobs = context.statusTracker().getJobIdsForGroup(f"headers {multi_line}")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 6
+    assert grid.count() == 240 and grid.columns == ["vendedor", "mes"]
+    for bad in ("vendedor\nana\n", "vendedor,mes,valor\nana,1,2\n", "vendedor,Mes\nana,1\n"):
+        put(f"{folder}/many", "p077.csv", bad)
+        with pytest.raises(readers.HeaderMismatch, match="p077.csv"):
+            readers.read_grid(spark, f"{folder}/many", multi_line=multi_line)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "134217728b"
+
+
+def test_sources_load_at_the_same_time_and_report_in_order(spark, folder, monkeypatch):
+    met = threading.Barrier(4, timeout=60)
+
+    def load_tab(session, sheet, tab, path, run_time, multi_line):
+        met.wait()
+        return (sheet, tab, "error" if tab == "t2" else "success", 1, None)
+
+    tabs = tuple((f"t{i}", "") for i in range(8))
+    with monkeypatch.context() as patched:
+        patched.setattr(load, "load_tab", load_tab)
+        report = load.run_sources(spark, [load.GridSource("s", tabs)], folder, RUN, concurrent=4)
+    assert [r["table"] for r in report.collect()] == [t for t, _ in tabs]
+
+    good = [put(folder, f"g{i}.csv", f"a,b\n{i},x\n") for i in range(6)]
+    tabs = [(f"junto {i}", path) for i, path in enumerate(good)]
+    tabs += [("junto falta", f"{folder}/no.csv"), ("junto 0", good[5])]
+    dumps = [load.ApiSource(put(folder, f"d{i}.json", {"data": RECORDS}), f"junto_api_{i}", f"e{i}", LAYOUT) for i in range(3)]
+    sources = [dumps[0], load.GridSource("s", tuple(tabs)), *dumps[1:]]
+    report = load.run_sources(spark, sources, f"{folder}/lake", RUN)
+    alone = load.run_sources(spark, sources, f"{folder}/lake2", RUN, concurrent=1)
+    assert report.collect() == alone.collect() and report.count() == 11
+    assert load.report_totals(report) == {"success": 10, "error": 1, "skipped": 0}
+    assert spark.table("staging.junto_0").first()["a"] == "5"  # of two tabs of one name the last stays
+
+
+def test_loads_that_share_a_target_share_a_lane():
+    assert load._lanes([{"a"}, {"b"}, {"a", "c"}, {"d"}, {"c"}]) == [[0, 2, 4], [1], [3]]
+    assert load._lanes([{"a"}, {"b"}, {"a", "b"}]) == [[0, 1, 2]]
+    assert load._lanes([]) == []
+
+
 def test_no_reader_deals_rows_out_unasked(spark, folder):
     path = put(folder, "x.json", {"data": RECORDS})
     grid = put(folder, "x.csv", "a,b\n1,2\n")
