@@ -33,11 +33,12 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--include-goal-only", action="store_true", help="sellers of goals alone")
     parser.add_argument("--group-casefold", action="store_true", help="channels whatever their case")
     parser.add_argument("--day-mode", choices=("elapsed", "calendar"), default="elapsed")
+    parser.add_argument("--lasting-keys", action="store_true", help="sellers keep their keys from build to build")
     parser.add_argument("--money-text", action="store_true", help="plain amounts may be money text")
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="moment of the run")
     options = parser.parse_args(arguments)
-    if not options.lake and set(options.steps) != {"build"}:
-        parser.error("load and snapshot need --lake")
+    if not options.lake and (set(options.steps) != {"build"} or options.lasting_keys):
+        parser.error("load, snapshot and lasting keys need --lake")
 
     spark = (
         SparkSession.builder.appName("salesloom")
@@ -67,6 +68,7 @@ def _run(spark: SparkSession, options: argparse.Namespace, run_time: datetime) -
             include_goal_only=options.include_goal_only,
             group_casefold=options.group_casefold,
             day_mode=options.day_mode,
+            key_registry=f"{options.lake}/keys/sellers" if options.lasting_keys else None,
             money=clean.parse_money if options.money_text else clean.safe_numeric,
         )
         build_tables(spark, run_time, repaired)

@@ -54,6 +54,7 @@ class Options:
     include_goal_only: bool = False
     group_casefold: bool = False
     day_mode: str = "elapsed"
+    key_registry: str | None = None
     money: Callable[[Column], Column] = clean.safe_numeric
 
 
@@ -137,7 +138,9 @@ def build_tables(
     silver_table("dim_organizacoes", silver.company_dim(t["stg_crm_organizations"]))
     silver_table("dim_produtos", silver.product_dim(t["stg_produtos"]))
     silver_table("fct_metas_vendas", silver.goal_fact(t["stg_metas_vendedores"]))
-    sellers = silver.seller_dim(raw_deals, t["fct_metas_vendas"], options.include_goal_only)
+    sellers = silver.seller_dim(
+        raw_deals, t["fct_metas_vendas"], options.include_goal_only, options.key_registry
+    )
     silver_table("dim_vendedores", sellers)
     sellers, companies = t["dim_vendedores"], t["dim_organizacoes"]
     sales = silver.sales_fact(t["stg_crm_deals"], sellers, companies, moment, options.day_mode)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from salesloom.functions import clean, measures
 from salesloom.operators import keys, shape
+from salesloom.operators.registry import lasting_key
 from salesloom.operators.staging import stage
 
 # Revenue above which a company is in a tier, highest first, and where sellers
@@ -47,14 +48,18 @@ def product_dim(products: DataFrame) -> DataFrame:
 
 
 def seller_dim(
-    raw_deals: DataFrame, goals: DataFrame | None = None, include_goal_only: bool = False
+    raw_deals: DataFrame,
+    goals: DataFrame | None = None,
+    include_goal_only: bool = False,
+    key_registry: str | None = None,
 ) -> DataFrame:
     """Distinct sellers of the CRM with a surrogate key; stored as a side effect.
 
     The key is the seller's own id, or a number by name order where the id is no integer.
     ``include_goal_only`` adds sellers that only the goals name; goal names carry no accents, so
     the CRM's names are cleaned before they are compared. A seller spelled in two ways has two
-    rows, as in the CRM.
+    rows, as in the CRM. By name order a new seller moves the numbers of others; with a
+    ``key_registry``, a folder, a name keeps the number that it got first.
     """
     owned = raw_deals.where(F.col("owner_id").isNotNull())
     members = shape.distinct_members(
@@ -79,6 +84,8 @@ def seller_dim(
         members = stage(members, "members")  # read twice below, computed once
         known = members.select(goal_name(F.col("nome_vendedor")).alias("nome_vendedor"))
         members = members.unionByName(named.join(known, "nome_vendedor", "left_anti"))
+    if key_registry:
+        return lasting_key(members, key_registry, "vendedor_id", ["nome_vendedor"], "sk_vendedor")
     return keys.surrogate_key(members, "vendedor_id", ["nome_vendedor"], "sk_vendedor")
 
 

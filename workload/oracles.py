@@ -478,6 +478,15 @@ ORACLES: dict[str, str] = {
             case when c_acctbal >= 0 then c_custkey end as id, c_name as name,
             c_mktsegment as segment
         from customer""",
+    "surrogate_key_lasting": """
+        select case when c_acctbal >= 0 then c_custkey
+                else row_number() over (
+                    partition by c_acctbal >= 0
+                    order by case when c_custkey in (select o_custkey from orders) then 0 else 1 end,
+                        c_mktsegment, c_name) + 100000 end as sk,
+            case when c_acctbal >= 0 then c_custkey end as id, c_name as name,
+            c_mktsegment as segment
+        from customer""",
     "orphan_keys": """
         select o_orderkey, count(*) as rows from orders anti join lineitem
             on o_orderkey = l_orderkey

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from salesloom.functions import clean, measures
 from salesloom.functions.names import qualified_name, rename_columns, table_name
-from salesloom.operators import history, keys, shape
+from salesloom.operators import history, keys, registry, shape
 from salesloom.operators.staging import shared_folder, stage
 from salesloom.plans import bronze, gold, silver
 from salesloom.sources import load, schemas
@@ -336,6 +336,22 @@ def surrogate_key(spark, sf_dir):
     return keys.surrogate_key(members, "id", ["segment", "name"], "sk")
 
 
+@query
+def surrogate_key_lasting(spark, sf_dir):
+    """Two builds: customers with orders first, then all; the second leaves the first one's keys alone."""
+    members = table(spark, sf_dir, "customer").select(
+        F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")).alias("id"),
+        F.col("c_name").alias("name"),
+        F.col("c_mktsegment").alias("segment"),
+        "c_custkey",
+    )
+    buyers = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    path = _scratch(spark, "registry")
+    first = members.join(buyers, "c_custkey", "left_semi").drop("c_custkey")
+    registry.lasting_key(first, path, "id", ["segment", "name"], "sk")
+    return registry.lasting_key(members.drop("c_custkey"), path, "id", ["segment", "name"], "sk")
+
+
 @query
 def orphan_keys(spark, sf_dir):
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
