@@ -16,7 +16,7 @@ LARGEST = 65535
 #: Added to every register, so that none is cut at 0: waits end at log(2 ** 53), 3605 steps below it.
 OFFSET = 4000
 #: Bytes of text worked on at once (one longer text is a block of its own).
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 _random = np.random.default_rng(20260101)
 _LOWER = np.arange(256, dtype=np.uint8)
