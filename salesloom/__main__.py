@@ -34,6 +34,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--group-casefold", action="store_true", help="channels whatever their case")
     parser.add_argument("--day-mode", choices=("elapsed", "calendar"), default="elapsed")
     parser.add_argument("--lasting-keys", action="store_true", help="sellers keep their keys from build to build")
+    parser.add_argument("--changed-only", action="store_true", help="write only months with other rows")
     parser.add_argument("--money-text", action="store_true", help="plain amounts may be money text")
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="moment of the run")
     options = parser.parse_args(arguments)
@@ -69,6 +70,7 @@ def _run(spark: SparkSession, options: argparse.Namespace, run_time: datetime) -
             group_casefold=options.group_casefold,
             day_mode=options.day_mode,
             key_registry=f"{options.lake}/keys/sellers" if options.lasting_keys else None,
+            changed_only=options.changed_only,
             money=clean.parse_money if options.money_text else clean.safe_numeric,
         )
         build_tables(spark, run_time, repaired)

@@ -15,9 +15,10 @@ from salesloom.functions import clean
 from salesloom.functions.names import qualified_name
 from salesloom.operators import keys
 from salesloom.operators.history import history_exists, update_history
+from salesloom.operators.staging import stage
 from salesloom.plans import bronze, gold, silver
 from salesloom.sources.load import STAGING
-from salesloom.sources.tables import replace_table, replace_view
+from salesloom.sources.tables import replace_changed, replace_table, replace_view
 
 log = logging.getLogger(__name__)
 
@@ -48,7 +49,10 @@ def snapshot_deals(spark: SparkSession, path: str, run_time: datetime | None = N
 
 @dataclass(frozen=True)
 class Options:
-    """Repaired forms of what reports rely on by default, and the money reader of plain columns."""
+    """Repaired forms of what reports rely on by default, and the money reader of plain columns.
+
+    ``changed_only`` writes just the months whose rows differ from those of the build before.
+    """
 
     normalize_names: bool = False
     include_goal_only: bool = False
@@ -56,6 +60,7 @@ class Options:
     day_mode: str = "elapsed"
     key_registry: str | None = None
     money: Callable[[Column], Column] = clean.safe_numeric
+    changed_only: bool = False
 
 
 # Months by which stored tables are split into folders, so a month filter skips the others.
@@ -69,8 +74,17 @@ MONTHS = {
 MONEY_VIEWS = ("stg_custos_aquisicao", "stg_metas_vendedores", "stg_territorios")
 
 
-def _store(df: DataFrame, layer: str, table: str) -> DataFrame:
-    replace_table(df, layer, table, MONTHS.get(table, ()))
+# Marts that are far smaller than what they are computed from.
+AGGREGATED = ("agg_meta_vs_realizado", "agg_performance_marketing")
+
+
+def _store(df: DataFrame, layer: str, table: str, changed_only: bool = False) -> DataFrame:
+    if changed_only and table in MONTHS:
+        rows = stage(df, table) if table in AGGREGATED else df
+        written = replace_changed(rows, layer, table, *MONTHS[table])
+        log.info("%s: %d months written", table, len(written))
+    else:
+        replace_table(df, layer, table, MONTHS.get(table, ()))
     return df.sparkSession.table(qualified_name(layer, table))
 
 
@@ -129,10 +143,10 @@ def build_tables(
         t[view] = replace_view(cleaned(spark.table(qualified_name(STAGING, table)), **how), view)
 
     def silver_table(name: str, df: DataFrame) -> None:
-        t[name] = _store(df, "silver", name)
+        t[name] = _store(df, "silver", name, options.changed_only)
 
     def gold_table(name: str, df: DataFrame) -> None:
-        t[name] = _store(df, "gold", name)
+        t[name] = _store(df, "gold", name, options.changed_only)
 
     raw_deals = spark.table(qualified_name(STAGING, "crm_deals"))
     silver_table("dim_organizacoes", silver.company_dim(t["stg_crm_organizations"]))

@@ -1,17 +1,23 @@
-"""Table sinks: layers as databases, full refresh without a gap, and the raw zone."""
+"""Table sinks: layers as databases, refresh in full or by changed folders, and the raw zone."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructType
 
 from salesloom.functions.names import qualified_name
+from salesloom.operators.changes import digests
 from salesloom.sources import files
 
+#: Digests of a table's folders, beside its rows.
+DIGESTS = "digests"
+NOTE = "number INT, folders STRING"
+
 
 def ensure_database(spark: SparkSession, layer: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer.strip()}`")
@@ -39,6 +45,7 @@ def replace_table(
     folders = [f"{home}/{table}/{side}" for side in ("a", "b")]
     current = _location(spark, name)
     target = folders[1] if current and current.endswith("/a") else folders[0]
+    files.remove(spark, f"{home}/{table}/{DIGESTS}")  # what they say of the table ends here
 
     df = df.select(*[c for c in df.columns if c not in partition_by], *partition_by)
     if partition_by:  # few files per folder; a folder with many rows is split all the same
@@ -58,6 +65,72 @@ def replace_table(
     return written
 
 
+def replace_changed(df: DataFrame, layer: str, table: str, month: str) -> list[str]:
+    """Bring ``layer.table`` up to ``df`` by the folders of those months whose rows differ.
+
+    Gives the months that were written or removed, as text. Each month's digest is kept beside the
+    table and compared with that of ``df``, so the rows of other months are computed once, to be
+    hashed, and neither shuffled nor written; their files stay. A table without digests, or whose
+    columns changed, is refreshed in full. The rows are computed twice, so stage what is dear and
+    small. ``month`` is a date column; months and digests come to the driver, as few as the folders.
+
+    Spark replaces the folders when all their files are written, each by a rename. Before that the
+    months are noted as in doubt, and the digests after it; so a refresh that stops on the way is made
+    good by the next one, whatever its rows are. One refresh of a table at a time.
+    """
+    spark = df.sparkSession
+    if not isinstance(df.schema[month].dataType, DateType):
+        raise ValueError(f"{month} is no date")
+    ensure_database(spark, layer)
+    name = qualified_name(layer, table)
+    notes = f"{spark.catalog.getDatabase(layer.strip()).locationUri}/{table}/{DIGESTS}"
+    df = df.select(*[c for c in df.columns if c != month], month)
+    found = digests(df, month).collect()
+    now = {_folder(month, r["value"]): r["digest"] for r in found}
+    location = _location(spark, name)
+    known = location and _layout(spark, name) == (_types(df.schema), [month])
+    last = _last_note(spark, notes) if known and files.exists(spark, notes) else None
+    if last is None:
+        replace_table(df, layer, table, [month])
+        _note(spark, notes, 1, now)
+        return sorted(f.partition("=")[2] for f in now)
+
+    number, before = last
+    gone = before.keys() - now.keys()
+    differ = {f for f, digest in now.items() if digest != before.get(f)}
+    if not gone and not differ:
+        return []
+    _note(spark, notes, number + 1, before | dict.fromkeys(gone | differ))
+    if differ:
+        months = [r["value"] for r in found if _folder(month, r["value"]) in differ]
+        wanted = F.col(month).isin([m for m in months if m is not None])
+        if None in months:
+            wanted = F.col(month).isNull() | wanted
+        rows = df.where(wanted).hint("rebalance", month).write.mode("overwrite")
+        rows.option("partitionOverwriteMode", "dynamic").partitionBy(month).parquet(location)
+    for folder in gone:
+        files.remove(spark, f"{location}/{folder}")
+    _note(spark, notes, number + 2, now)
+    spark.catalog.refreshTable(name)
+    return sorted(f.partition("=")[2] for f in gone | differ)
+
+
+def _folder(column: str, value: date | None) -> str:
+    """The folder that Spark gives a date."""
+    return f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value.isoformat()}"
+
+
+def _note(spark: SparkSession, path: str, number: int, folders: dict[str, str | None]) -> None:
+    """Add a row of folders and digests; no digest means that the folder's rows are in doubt."""
+    row = spark.createDataFrame([(number, json.dumps(folders))], NOTE)
+    row.coalesce(1).write.mode("append").parquet(path)
+
+
+def _last_note(spark: SparkSession, path: str) -> tuple[int, dict[str, str | None]] | None:
+    row = spark.read.schema(NOTE).parquet(path).orderBy(F.desc("number")).first()
+    return row and (row["number"], json.loads(row["folders"]))
+
+
 def _create(
     spark: SparkSession, name: str, schema: StructType, partition_by: Sequence[str], path: str
 ) -> None:

@@ -337,6 +337,7 @@ ORACLES: dict[str, str] = {
     "channel_performance_casefold": sql(_channels(True), "costs", "deals"),
     "wide_sales": sql(_WIDE, "sales"),
     "wide_sales_one_pass": sql(_WIDE, "sales"),
+    "wide_sales_refreshed": sql(_WIDE, "sales"),
     "sales_fact": sql(_fact("date_sub"), "sales"),
     "sales_fact_calendar_days": sql(_fact("date_diff"), "sales"),
     "seller_dim": sql("select * from sellers", "sellers"),

@@ -18,7 +18,7 @@ from salesloom.operators.staging import shared_folder, stage
 from salesloom.plans import bronze, gold, silver
 from salesloom.sources import load, schemas
 from salesloom.sources.readers import read_api_envelope, read_grid, stamp, stringify_all
-from salesloom.sources.tables import land, replace_table
+from salesloom.sources.tables import land, replace_changed, replace_table
 from workload import standins
 from workload.standins import cents, table
 
@@ -596,6 +596,19 @@ def layer_tables(spark, sf_dir):
     return stored.where(F.col("month").between(F.lit("1995-01-01").cast("date"), F.lit("1995-12-01").cast("date")))
 
 
+@query
+def wide_sales_refreshed(spark, sf_dir):
+    """The wide table of most deals, then of all: only months with other rows are written again."""
+    name = f"wide_{uuid.uuid4().hex}"
+    sellers = stage(_sellers(spark, sf_dir), "sellers")
+    companies = stage(_companies(spark, sf_dir), "companies")
+    wide = gold.wide_sales(stage(_sales(spark, sf_dir, sellers), "sales"), sellers, companies)
+    late = F.col("mes_criacao_deal") >= F.lit("1997-06-01").cast("date")
+    replace_changed(wide.where(~late | (F.col("status_deal") == "won")), "gold", name, "mes_criacao_deal")
+    replace_changed(wide, "gold", name, "mes_criacao_deal")
+    return spark.table(qualified_name("gold", name))
+
+
 # -- odd sellers ------------------------------------------------------------------------------
 
 
