@@ -42,8 +42,11 @@ from salesloom.sources import files
 
 #: Words of a phrase.
 WINDOW = 10
+#: What parts words: ASCII but for digits and letters. They are named one by one, as Java looks single characters of a
+#: class up in a bit set but tries its ranges in turn.
+BETWEEN = "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum())
 #: A word in the text, before A-Z are put in lower case.
-TOKEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+TOKEN = f"[^{BETWEEN}]+"
 #: How many of a phrase's lists are intersected at once, the rarest.
 RAREST = 2
 #: Bytes of text that make a bucket, until there are so many buckets.
