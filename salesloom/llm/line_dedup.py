@@ -10,7 +10,7 @@ third of all documents sends one sketch per task. Both sides of the join that fi
 to be removed are shuffled, so adaptive execution can split the rows of a hot line.
 
 Defined results: lines are split at line feeds and compared after each run of white space became one
-space, without space at the ends. Lines of fewer than ``min_words`` words are never removed. Null
+space, without space at the ends. Blank lines, and lines of fewer than ``min_words`` words, are never removed. Null
 text has no lines and stays null; a text whose lines all go becomes empty. A null site is one site.
 Null ids come before others. Rows that agree in id and text are one document and keep the same lines.
 All columns are returned, the text changed; ``lines_removed`` is added (under another name if taken).
@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from salesloom.llm.common import SPACE, fresh
 from salesloom.operators.staging import stage
 
-#: Distinct sites that make a line boilerplate, and the words it must have.
+#: Distinct sites that make a line boilerplate, and the words it must have: every line that is not blank counts.
 MIN_SITES = 3
-MIN_WORDS = 3
+MIN_WORDS = 1
 #: Sketch size (log 2 of its slots), and how many standard errors count as near the threshold.
 LOG_SLOTS = 12
 ERRORS = 4

@@ -79,7 +79,7 @@ WITH lines AS (
   FROM documents WHERE text IS NOT NULL),
 keyed AS (
   SELECT *, trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')) AS plain FROM lines),
-counted AS (SELECT * FROM keyed WHERE len(string_split(plain, ' ')) >= 3),
+counted AS (SELECT * FROM keyed WHERE plain <> ''),
 common AS (
   SELECT plain, min(struct_pack(a := doc_id, b := pos)) AS first FROM counted
   GROUP BY plain HAVING count(DISTINCT coalesce('=' || source, '~')) >= 3),

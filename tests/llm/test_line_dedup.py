@@ -18,7 +18,7 @@ def run(spark, rows, **options):
 def test_first_occurrence_stays(spark):
     rows = [(i, f"own line {i}\nAll  rights reserved. \nlast", f"s{i}") for i in range(4)]
     rows.append((9, "All rights\treserved.\nAll rights reserved.", "s0"))
-    got = run(spark, rows)
+    got = run(spark, rows, min_words=3)
     assert got[0] == (0, rows[0][1], 0)
     assert got[1:4] == [(i, f"own line {i}\nlast", 1) for i in (1, 2, 3)]
     assert got[4] == (9, "", 2)
@@ -29,9 +29,10 @@ def test_spread_counts_sites_not_lines(spark):
     assert all(n == 0 for *_, n in run(spark, rows))
 
 
-def test_short_and_blank_lines_stay(spark):
-    rows = [(i, "\n \nYes sir.\n", f"s{i}") for i in range(6)]
-    assert [t for _, t, _ in run(spark, rows)] == [t for _, t, _ in rows]
+def test_short_lines_go_and_blank_lines_stay(spark):
+    rows = [(i, "\n \nYes sir.\nMenu\n", f"s{i}") for i in range(6)]
+    assert run(spark, rows) == [(0, rows[0][1], 0)] + [(i, "\n \n", 2) for i in range(1, 6)]
+    assert [t for _, t, _ in run(spark, rows, min_words=3)] == [t for _, t, _ in rows]
 
 
 @pytest.mark.parametrize("sites", [39, 40, 41, 80])
