@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 NUMERIC = "decimal(38,9)"
 # Of amounts below 10^17 Spark keeps nine exact decimals by itself; larger ones take the long way.
-_AMOUNT = "decimal(26,9)"
+_AMOUNT = (26, 9)
 _NINTH = Decimal("0.000000001")
 _UNITS = "decimal(38,0)"
 _HUNDRED = Decimal(100)
@@ -43,27 +43,53 @@ def weighted_value(value: Column, percent: Column) -> Column:
     Exact for any amount and percent. NULL where the result needs more than 28 digits before the
     point.
     """
-    share = (percent.try_cast("decimal(9,0)") * Decimal("0.01")).cast("decimal(11,2)")
-    usual = (value.try_cast(_AMOUNT) * share).try_cast(NUMERIC)
+    share = (_narrow(percent, 9, 0) * Decimal("0.01")).cast("decimal(11,2)")
+    usual = (_narrow(value, *_AMOUNT) * share).try_cast(NUMERIC)
     both = F.struct(value.alias("value"), percent.alias("percent"))
     return F.coalesce(usual, _let(both, lambda p: _wide_share(p["value"], p["percent"])))
 
 
 def _wide_share(value: Column, percent: Column) -> Column:
-    """The same in whole billionths, hundreds apart from the rest, so no product loses a digit."""
-    units, share = _billionths(value), F.abs(percent.try_cast("decimal(20,0)"))
-    rest = units % _HUNDRED
-    hundreds = ((units - rest).cast(_UNITS) * Decimal("0.01")).cast("decimal(36,0)")
-    small = (rest.cast("decimal(2,0)") * share).cast("decimal(22,0)")
-    small_rest = small % _HUNDRED
-    small_part = ((small - small_rest) / _HUNDRED).cast("decimal(20,0)")
-    up = F.when(small_rest >= 50, 1).otherwise(0).cast("decimal(1,0)")
-    total = F.try_add(F.try_multiply(hundreds, share).try_cast(_UNITS), small_part + up)
-    total = total.try_cast(_UNITS)
+    """The same in whole billionths, hundreds apart from the rest, so no product loses a digit.
+
+    Each step is a value of its own: what is used more than once is computed once.
+    """
+
+    def products(p: Column) -> Column:
+        hundreds = ((p["units"] - p["rest"]).cast(_UNITS) * Decimal("0.01")).cast("decimal(36,0)")
+        small = (p["rest"].cast("decimal(2,0)") * p["share"]).cast("decimal(22,0)")
+        large = F.try_multiply(hundreds, p["share"]).try_cast(_UNITS)
+        return F.struct(large.alias("large"), small.alias("small"), (small % _HUNDRED).alias("small_rest"))
+
+    def total(p: Column) -> Column:
+        small_part = ((p["small"] - p["small_rest"]) / _HUNDRED).cast("decimal(20,0)")
+        up = F.when(p["small_rest"] >= 50, 1).otherwise(0).cast("decimal(1,0)")
+        return F.try_add(p["large"], small_part + up).try_cast(_UNITS)
+
+    def low(total: Column) -> Column:
+        return F.struct(total.alias("total"), (total % billion).alias("low"))
+
+    def amount(p: Column) -> Column:
+        whole = ((p["total"] - p["low"]) / billion).try_cast("decimal(28,0)")
+        return _amount(whole, p["low"], (value < 0) != (percent < 0))
+
+    def parted(units: Column) -> Column:
+        share = F.abs(percent.try_cast("decimal(20,0)"))
+        return F.struct(units.alias("units"), (units % _HUNDRED).alias("rest"), share.alias("share"))
+
     billion = F.lit(Decimal(10**9))
-    low = total % billion
-    whole = ((total - low) / billion).try_cast("decimal(28,0)")
-    return _amount(whole, low, (value < 0) != (percent < 0))
+    parts = _let(_billionths(value), parted)
+    return _let(_let(_let(_let(parts, products), total), low), amount)
+
+
+def _narrow(c: Column, digits: int, scale: int) -> Column:
+    """The amount as a decimal of so many digits, or NULL.
+
+    A try_cast that fails throws and catches an exception, which takes far longer than the cast; so
+    amounts that are too large are told by comparison first.
+    """
+    bound = Decimal(10 ** (digits - scale))
+    return F.when((c < F.lit(bound)) & (c > F.lit(-bound)), c).try_cast(f"decimal({digits},{scale})")
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -97,9 +123,9 @@ def _quick_ratio(numerator: Column, denominator: Column) -> Column:
     Nothing here but the rounding stands under a condition, so the generated code computes each
     part once.
     """
-    n = _ten_thousandths(numerator, "decimal(18,4)")
+    n = _ten_thousandths(numerator, 18)
     # 15 digits, so that a thousand times a rest is a long
-    d = F.nullif(_ten_thousandths(denominator, "decimal(15,4)"), F.lit(0).cast("bigint"))
+    d = F.nullif(_ten_thousandths(denominator, 15), F.lit(0).cast("bigint"))
     total, rest = F.call_function("div", n, d), n % d
     for _ in range(3):
         wide = rest * 1000
@@ -109,9 +135,9 @@ def _quick_ratio(numerator: Column, denominator: Column) -> Column:
     return (F.try_add(total, up).cast("decimal(19,0)") * F.lit(_NINTH)).cast(NUMERIC)
 
 
-def _ten_thousandths(c: Column, narrow: str) -> Column:
+def _ten_thousandths(c: Column, digits: int) -> Column:
     """The amount as a long, if it has four decimals at most and fits."""
-    near = c.try_cast(narrow)
+    near = _narrow(c, digits, 4)
     return F.when(near == c, (near * 10000).cast("bigint"))
 
 
@@ -141,8 +167,8 @@ def _usual_ratio(n: Column, d: Column) -> Column:
     def rest(p: Column) -> Column:
         return _let(F.struct(p["wide"].alias("wide"), p["d"].alias("d"), (p["wide"] % p["d"]).alias("rest")), divided)
 
-    wide = (_units_of(n.try_cast(_AMOUNT)) * F.lit(Decimal(10**9))).cast("decimal(35,0)")
-    return _let(F.struct(wide.alias("wide"), _units_of(d.try_cast(_AMOUNT)).alias("d")), rest)
+    wide = (_units_of(_narrow(n, *_AMOUNT)) * F.lit(Decimal(10**9))).cast("decimal(35,0)")
+    return _let(F.struct(wide.alias("wide"), _units_of(_narrow(d, *_AMOUNT)).alias("d")), rest)
 
 
 def _units_of(c: Column) -> Column:
@@ -154,11 +180,23 @@ def _long_ratio(n: Column, d: Column) -> Column:
     """The same by long division of whole billionths: the whole part, then nine digits."""
     negative = ((n < 0) != (d < 0)).alias("negative")
     parts = F.struct(_billionths(n).alias("n"), _billionths(d).alias("d"), negative)
-    return _let(parts, lambda p: _let(_divided(p), _ratio_of))
+
+    def divided(p: Column) -> Column:
+        rest = (p["n"] % p["d"]).cast(_UNITS).alias("rest")
+        return _let(F.struct(p["n"].alias("n"), p["d"].alias("d"), rest, p["negative"].alias("negative")), _divided)
+
+    return _let(_let(parts, divided), _ratio_of)
 
 
 def _divided(p: Column) -> Column:
-    """The rest of a whole division, and with it the nine digits that follow."""
+    """The rest of a whole division, and with it the nine digits that follow.
+
+    All nine at once if a billion times the rest has 38 digits at most, else one by one.
+    """
+
+    def nine_digits(wide: Column) -> Column:
+        digits = F.call_function("div", wide, p["d"])
+        return F.struct((wide % p["d"]).cast(_UNITS).alias("rest"), digits.alias("digits"))
 
     def next_digit(state: Column) -> Column:
         # the product is NULL, never wrong, if it needs more than 38 digits
@@ -170,10 +208,11 @@ def _divided(p: Column) -> Column:
         digit = ((state["tenfold"] - rest) / p["d"]).cast("long")
         return F.struct(rest.cast(_UNITS).alias("rest"), (state["digits"] * 10 + digit).alias("digits"))
 
-    first = (p["n"] % p["d"]).cast(_UNITS)
-    start = F.struct(first.alias("rest"), F.lit(0).cast("long").alias("digits"))
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(9)), start, lambda s, _: _let(next_digit(s), take))
-    whole = F.try_divide(p["n"] - first, p["d"]).try_cast("decimal(28,0)")
+    start = F.struct(p["rest"].alias("rest"), F.lit(0).cast("long").alias("digits"))
+    one_by_one = F.aggregate(F.sequence(F.lit(1), F.lit(9)), start, lambda s, _: _let(next_digit(s), take))
+    wide = F.try_multiply(p["rest"], F.lit(Decimal(10**9))).try_cast(_UNITS)
+    end = F.when(p["d"] < F.lit(Decimal(10**29)), _let(wide, nine_digits)).otherwise(one_by_one)
+    whole = _let(F.try_divide(p["n"] - p["rest"], p["d"]), lambda q: _narrow(q, 28, 0))
     return F.struct(whole.alias("whole"), end.alias("end"), p["d"].alias("d"), p["negative"].alias("negative"))
 
 
@@ -189,12 +228,18 @@ def _billionths(c: Column) -> Column:
 
     Spark's abs and unary minus keep 34 digits only, so signs are turned by subtraction.
     """
+
+    def units(p: Column) -> Column:
+        whole = (p["c"] - p["part"]).cast("decimal(29,0)")
+        large = (whole * F.lit(Decimal(10**9))).cast(_UNITS)
+        return (large + (p["part"] * F.lit(Decimal(10**9))).cast("decimal(10,0)")).cast(_UNITS)
+
+    def size(units: Column) -> Column:
+        return F.when(units < 0, F.lit(Decimal(0)) - units).otherwise(units).cast(_UNITS)
+
     c = c.try_cast(NUMERIC)
-    part = c % Decimal(1)
-    whole = (c - part).cast("decimal(29,0)")
-    units = (whole * F.lit(Decimal(10**9))).cast(_UNITS)
-    units = (units + (part * F.lit(Decimal(10**9))).cast("decimal(10,0)")).cast(_UNITS)
-    return F.when(units < 0, F.lit(Decimal(0)) - units).otherwise(units).cast(_UNITS)
+    parts = F.struct(c.alias("c"), (c % Decimal(1)).alias("part"))
+    return _let(_let(parts, units), size)
 
 
 def _amount(whole: Column, billionths: Column, negative: Column) -> Column:

@@ -123,3 +123,11 @@ def test_ratios_of_a_thousand_and_more_compile_and_are_quick(spark):
     code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(rows._jdf.queryExecution().executedPlan())
     assert "Found 1 WholeStageCodegen" in code
     assert len(code) < 400_000
+
+
+def test_wide_measures_compute_each_part_once(spark):
+    """Remainders of wide amounts are dear, so none stands in the plan for each use of its result."""
+    rows = spark.createDataFrame([(Decimal(10**24), Decimal(8), 2 * 10**10)], "n decimal(38,9), d decimal(38,9), p bigint")
+    for measure, most in ((measures.weighted_value(F.col("n"), F.col("p")), 4), (measures.ratio(F.col("n"), F.col("d")), 20)):
+        plan = rows.select(measure.alias("m"))._jdf.queryExecution().analyzed().toString()
+        assert plan.count(" % ") <= most
