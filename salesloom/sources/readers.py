@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from datetime import datetime, timezone
 from functools import reduce
 from operator import or_
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,10 +19,6 @@ ENVELOPE_MEMBERS = ("success", "additional_data")
 SURPLUS = tuple(f"_surplus_{i}" for i in range(8))
 
 
-# More bytes than a file has: each file is read by one task of its own.
-WHOLE_FILE = 1 << 40
-
-
 class HeaderMismatch(ValueError):
     """Files of one grid have different headers."""
 
@@ -131,28 +125,32 @@ def _grid_reader(spark: SparkSession, sep: str, multi_line: bool):
 def _same_headers(spark: SparkSession, path: str, sep: str, multi_line: bool, first: Row) -> None:
     """Refuse files whose first row differs from ``first``, by one query over all files.
 
-    Each file is a task, which stops after its first row. The settings for that are those of a
-    session of its own, so reads that run at the same time keep theirs. Files without rows have no
-    header; a header without a name, at the end, counts as absent.
+    Each part of a file is a task and gives its first row; that of a file's first part with rows is
+    the file's. The settings for that are those of a session of its own, so reads that run at the same
+    time keep theirs. Files without rows have no header; a header without a name, at the end, counts
+    as absent.
     """
     session = spark.newSession()
+    part = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    # a part that costs as much to open as a task may read is never joined by another
     for setting in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
-        session.conf.set(setting, WHOLE_FILE)
-    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
-
-    def first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.slice(0, 1)
-                return
+        session.conf.set(setting, part)
 
     names = [f"c{i}" for i in range(len(first) + len(SURPLUS))]
     layout = T.StructType([T.StructField(c, T.StringType()) for c in names])
     rows = _grid_reader(session, sep, multi_line).option("header", False).schema(layout).csv(path)
-    rows = rows.select(F.col("_metadata.file_path").alias("file"), F.array(*names).alias("header"))
+    rows = rows.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        # the lower bits count the rows of a task
+        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("row"),
+        *names,
+    )
+    firsts = rows.where("row = 0").select("file", "start", F.array(*names).alias("header"))
+    headers = firsts.groupBy("file").agg(F.min_by("header", "start").alias("header"))
     expected = F.array(*[F.lit(c) for c in first], *[F.lit(None)] * len(SURPLUS)).cast("array<string>")
-    others = rows.mapInArrow(first_row, rows.schema).where(F.col("header") != expected)
     # one row, whatever the number of files
+    others = headers.where(F.col("header") != expected)
     found = others.agg(F.min(F.struct("file", "header")).alias("other")).first()["other"]
     if found:
         header = list(found["header"])

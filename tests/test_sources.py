@@ -285,3 +285,25 @@ def test_a_table_split_by_month_is_read_by_month(spark, capsys):
     assert one.count() == 20
     one.explain()
     assert "PartitionFilters: [isnotnull(month" in capsys.readouterr().out
+
+
+def test_headers_of_large_files_are_checked_by_parts(spark, folder):
+    """A large file is no single task's work, and its later parts have no header."""
+    rows = "".join(f"seller {i},{i}\n" for i in range(2000))
+    for name in ("a.csv", "b.csv"):
+        put(f"{folder}/large", name, "vendedor,mes\n" + rows)
+    context, setting = spark.sparkContext, "spark.sql.files.maxPartitionBytes"
+    context.setJobGroup("parts of files", "")
+    spark.conf.set(setting, "2k")
+    try:
+        grid = readers.read_grid(spark, f"{folder}/large", multi_line=False)
+        status = context.statusTracker()
+        stages = [i for j in status.getJobIdsForGroup("parts of files") for i in status.getJobInfo(j).stageIds]
+        assert grid.count() == 4000
+        put(f"{folder}/large", "b.csv", "mes,vendedor\n" + rows)
+        with pytest.raises(readers.HeaderMismatch, match="b.csv"):
+            readers.read_grid(spark, f"{folder}/large", multi_line=False)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.unset(setting)
+    assert max(info.numTasks for info in map(status.getStageInfo, stages) if info) > 10
