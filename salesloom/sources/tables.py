@@ -173,19 +173,28 @@ def replace_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def land(df: DataFrame, root: str, entity: str, day: date, keep_if_empty: bool = False) -> str | None:
+def land(
+    df: DataFrame,
+    root: str,
+    entity: str,
+    day: date,
+    keep_if_empty: bool = False,
+    compression: str | None = None,
+) -> str | None:
     """Write records as line-JSON to the raw zone, one folder per entity and load date.
 
     A second load on the same day replaces that day's folder only, once it is written in full
     beside it; a load that fails leaves the folder as it was. With ``keep_if_empty`` so does a
-    load without records, and None is returned.
+    load without records, and None is returned. ``compression`` is a codec that Spark knows. With
+    ``gzip`` the files take a tenth of the place or so, but each is read by one task, so it is for
+    loads of many tasks, each of which writes a file.
     """
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/raw/crm/{entity}/ingest_date={day.isoformat()}"
     fresh = files.beside(path)
     counted = Observation()
     try:
-        df.observe(counted, F.count(F.lit(1)).alias("rows")).write.json(fresh)
+        df.observe(counted, F.count(F.lit(1)).alias("rows")).write.json(fresh, compression=compression)
     except Exception:
         files.remove(spark, fresh)
         raise

@@ -119,6 +119,17 @@ def test_land(spark, folder):
     assert landed.where("ingest_date = '2024-01-30'").count() == 2
 
 
+def test_landed_records_may_be_compressed(spark, folder):
+    """Same rows in a fraction of the bytes."""
+    rows = spark.range(20_000).selectExpr("id", "concat('deal ', id % 7) as title", "struct(id % 3 as kind) as more")
+    plain = tables.land(rows, folder, "plain", date(2024, 1, 30))
+    small = tables.land(rows, folder, "small", date(2024, 1, 30), compression="gzip")
+    size = [sum(e.stat().st_size for e in os.scandir(path)) for path in (plain, small)]
+    assert size[1] * 4 < size[0]
+    assert rows.exceptAll(spark.read.schema(rows.schema).json(small)).isEmpty()
+    assert spark.read.json(small).count() == 20_000
+
+
 def test_load_report(spark, folder):
     good = put(folder, "good.json", {"success": True, "data": RECORDS})
     empty = put(folder, "empty.json", {"success": True, "data": []})

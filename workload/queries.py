@@ -25,6 +25,8 @@ from workload.standins import cents, table
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 PAGE_RECORDS = 100
+#: Of dumps and the raw zone: JSON repeats its field names in every record.
+COMPRESSION = "gzip"
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -482,11 +484,12 @@ def envelope_records(spark, sf_dir):
     # Ids are unique, so a page holds PAGE_RECORDS records at most.
     pages = raw.groupBy(page.alias("page")).agg(F.collect_list(F.struct("*")).alias("data"))
     dump = _scratch(spark, "dump")
-    pages.select(F.lit(True).alias("success"), "data").write.json(dump)
+    pages.select(F.lit(True).alias("success"), "data").write.json(dump, compression=COMPRESSION)
 
     records = read_api_envelope(spark, dump, schemas.CRM_DEALS, lines=True)
     stamped = stamp(records, _moment(standins.LOADED_AT))
-    landed = land(stamped, _scratch(spark, "lake"), "deals", date(2002, 1, 1))
+    lake = _scratch(spark, "lake")
+    landed = land(stamped, lake, "deals", date(2002, 1, 1), compression=COMPRESSION)
     return bronze.stg_crm_deals(spark.read.schema(stamped.schema).json(landed))
 
 
