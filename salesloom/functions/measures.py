@@ -105,8 +105,8 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
     Spark divides two decimal(38,9) to six decimals only. So there are four ways, each for what the
     one before leaves: long integers, for amounts of four decimals; a double, where it has the right
-    ninth decimal; whole billionths divided with a remainder, for amounts below 10^17; and digit by
-    digit. NULL where the quotient needs more than 28 digits before the point, or the denominator is 0.
+    ninth decimal; whole billionths divided with a remainder, for amounts below 10^17; and long
+    division, of which only denominators from 10^20 on need one step a digit. NULL where the quotient needs more than 28 digits before the point, or the denominator is 0.
     """
 
     def slowly(p: Column) -> Column:
