@@ -11,14 +11,16 @@ To the network, words outside are one of ``BUCKETS`` symbols by the checksum of
 takes each such word's own share of its bucket, n / (bucket + 0.5) for a word counted n times.
 Words that the corpus did not have share the remaining 0.5.
 
-What is counted covers all documents: every word's count is aggregated by Spark and decides the
-vocabulary, the shares within clusters and those within buckets. The network learns from every token of all documents, ``PASSES`` times: each partition takes gradient steps over its whole texts from
-the same weights, and the weights it ends with, times its tokens, are added up in a tree and averaged
-for the next pass. Clusters come from the neighbours of all tokens, counted the same way. Only such
-sums of a fixed size reach the driver; the model has a fixed size and is sent to all tasks. Texts
-are stored once as symbols of 16 bits, which the passes read. The vocabulary is ranked within parts
-of the words first, so a bounded number of rows is merged. Scoring is one pass over the texts; the
-words outside the vocabulary are shuffled to meet their counts, and their sums meet the texts by row.
+What is counted covers all documents: every word's count is aggregated by Spark and decides the vocabulary,
+the shares within clusters and those within buckets. The network learns from every token of all documents,
+``PASSES`` times: each partition takes gradient steps over its whole texts from the same weights, and the
+weights it ends with, times its tokens, are added up in a tree and averaged for the next pass. What a step
+needs of its places is laid out and sorted for some 100,000 of them at once, and words are cut, counted and
+looked up by Arrow, a few megabytes of texts at a time. Clusters come from the neighbours of all tokens,
+counted the same way. Only such sums of a fixed size reach the driver; the model has a fixed size and is sent
+to all tasks. Texts are stored once as symbols of 16 bits, which the passes read. The vocabulary is ranked
+within parts of the words first, so a bounded number of rows is merged. Scoring is one pass over the texts;
+the words outside the vocabulary are shuffled to meet their counts, and their sums meet the texts by row.
 No such word makes up more than 1 / ``VOCABULARY`` of all, so none is a hot key.
 
 Defined results: words are runs other than white space, A-Z in lower case. Null and empty texts have no
@@ -34,11 +36,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from salesloom.llm.common import SPACE, ascii_lower, ship, text_of
+from salesloom.llm.common import ship
 from salesloom.operators.staging import stage
 
 VOCABULARY = 8192
@@ -56,13 +59,23 @@ SIGNS = 48
 PASSES = 2
 RUN = 64
 RUNS = 8
+#: Steps whose places are sorted at once.
+SORTED = 256
 LAID = 1 << 17
 #: Parts in which words are ranked; tasks that add up the partitions' sums.
 PARTS = 32
 BRANCHES = 16
-#: Tokens scored at once.
-BLOCK = 1 << 15
-REMEMBERED = 500_000
+#: Tokens scored at once, so that they stay in a core's cache; bytes of texts cut into words at once.
+BLOCK = 1 << 11
+CUT = 1 << 22
+#: Bytes of words whose checksums are taken together; what a byte does to a crc32.
+SHORT = 24
+CRC = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    CRC = np.where(CRC & 1, (CRC >> 1) ^ np.uint32(0xEDB88320), CRC >> 1)
+_ONES = np.ones(max(CLUSTERS, RUNS * (RUN + 2 * SIDE)), np.float32)
+#: Logits of a larger size are shifted before they are raised to powers.
+LARGE = 80
 
 _SCHEMA = pa.schema(
     [
@@ -75,17 +88,40 @@ _SCHEMA = pa.schema(
 )
 
 
-class Symbols(dict):
-    """Symbol of each word (as lower-case bytes); remembers a bounded number of rare ones."""
-
-    def __init__(self, vocabulary: list[bytes]):
-        super().__init__((w, i) for i, w in enumerate(vocabulary))
-
-    def __missing__(self, word: bytes) -> int:
-        symbol = VOCABULARY + zlib.crc32(word) % BUCKETS
-        if len(self) < REMEMBERED:
-            self[word] = symbol
-        return symbol
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, A-Z in lower case, as bytes; the number of words of each text."""
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(texts))
+    texts = pc.if_else(pc.equal(pc.binary_length(texts), 0), pa.scalar(None, texts.type), texts)
+    words = pc.ascii_split_whitespace(texts)
+    return words.flatten().cast(pa.binary()), pc.fill_null(pc.list_value_length(words), 0).to_numpy().astype(np.int64)
+
+
+def checksums(words: pa.Array) -> np.ndarray:
+    """The crc32 of each word: a byte of all words at a time, of long words by themselves."""
+    _, ends, data = words.buffers()
+    if not len(words) or data is None:
+        return np.zeros(len(words), np.int64)
+    ends, data = np.frombuffer(ends, np.int32)[words.offset :][: len(words) + 1], np.frombuffer(data, np.uint8)
+    at, n = ends[:-1].astype(np.int64), np.diff(ends)
+    order = np.argsort(-np.minimum(n, SHORT + 1).astype(np.int16), kind="stable")
+    longer = len(words) - np.cumsum(np.bincount(np.minimum(n, SHORT + 1), minlength=SHORT + 2))  # words longer than each length
+    at, sums = at[order], np.full(len(words), 0xFFFFFFFF, np.uint32)
+    for k in range(SHORT):
+        some = sums[: longer[k]]
+        some[:] = CRC[(some ^ data[at[: longer[k]] + k]) & 255] ^ (some >> 8)
+    found = np.empty(len(words), np.int64)
+    found[order] = sums ^ 0xFFFFFFFF
+    for i in order[: longer[SHORT]]:
+        found[i] = zlib.crc32(data[ends[i] : ends[i + 1]])
+    return found
+
+
+def symbols_of(words: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Symbol of each word; the words outside the vocabulary, in their order."""
+    found = pc.fill_null(pc.index_in(words, vocabulary), -1).to_numpy().astype(np.int64)
+    rare = words.filter(pa.array(found < 0))
+    found[found < 0] = VOCABULARY + checksums(rare) % BUCKETS
+    return found, rare
 
 
 @dataclass
@@ -99,40 +135,34 @@ class Model:
     out: np.ndarray
     out_bias: np.ndarray
     buckets: np.ndarray  # log count of each bucket
-    symbols: Symbols | None = field(default=None)
     counts: DataFrame | None = field(default=None)  # (word, n), where it is stored
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"symbols": None, "counts": None}  # workers make their own symbols
+        return self.__dict__ | {"counts": None}
 
     def weights(self) -> list[np.ndarray]:
         return [self.embed, self.hidden, self.hidden_bias, self.out, self.out_bias]
 
     def encode(self, text: bytes) -> np.ndarray:
-        return self.encode_words(text.lower().split())
-
-    def encode_words(self, words: list[bytes]) -> np.ndarray:
-        if self.symbols is None:
-            self.symbols = Symbols(self.vocabulary)
-        return np.fromiter(map(self.symbols.__getitem__, words), np.int64, len(words))
+        words, _ = words_of(pa.array([text], pa.binary()).view(pa.string()))
+        return symbols_of(words, pa.array(self.vocabulary, pa.binary()))[0]
 
     def token_log_probs(self, tokens: np.ndarray, padded: np.ndarray, places: np.ndarray) -> np.ndarray:
         """Log-probability of each token, given where it stands in ``padded``."""
         found = np.empty(len(tokens), np.float64)
         for at in range(0, len(tokens), BLOCK):
             here, target = places[at : at + BLOCK], tokens[at : at + BLOCK]
-            _, _, logits = self.forward(padded, here)
-            logits -= logits.max(1, keepdims=True)
+            logits = self.forward(padded, here)
             own = logits[np.arange(len(here)), self.cluster[target]]
-            found[at : at + BLOCK] = own - np.log(np.exp(logits).sum(1)) + self.share[target]
+            found[at : at + BLOCK] = own - np.log(np.exp(logits) @ _ONES[:CLUSTERS]) + self.share[target]
         return found
 
-    def forward(self, padded: np.ndarray, here: np.ndarray):
-        left = sum(self.embed[padded[here - k]] for k in range(1, SIDE + 1))
-        right = sum(self.embed[padded[here + k]] for k in range(1, SIDE + 1))
-        x = np.concatenate([left, right], 1)
-        h = np.tanh(x @ self.hidden + self.hidden_bias)
-        return x, h, h @ self.out + self.out_bias
+    def forward(self, padded: np.ndarray, here: np.ndarray) -> np.ndarray:
+        """Logits of the clusters at each place, up to a number for each place."""
+        first = here.min() - SIDE
+        sums = _side_sums(self.embed.take(padded[first : here.max() + SIDE + 1], 0))
+        h = _hidden(sums.take(here - first - SIDE, 0), sums.take(here - first + 1, 0), self.hidden, self.hidden_bias)
+        return _logits(h, np.concatenate([self.out, self.out_bias[None]]))
 
     def score(self, texts: list[bytes]) -> list[tuple[int, float]]:
         """(number of tokens, summed log-probability up to the bucket) of each text."""
@@ -145,6 +175,33 @@ class Model:
         return [(int(b - a), float(sums[b] - sums[a])) for a, b in zip(starts, ends)]
 
 
+def _side_sums(embedded: np.ndarray) -> np.ndarray:
+    """The sum of each place's embedding and of the ``SIDE`` - 1 that follow."""
+    n = len(embedded) - SIDE + 1
+    sums = embedded[:n].copy()
+    for k in range(1, SIDE):
+        sums += embedded[k : k + n]
+    return sums
+
+
+def _hidden(left: np.ndarray, right: np.ndarray, hidden: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """The hidden layer of each place, and a one, which the output's bias is multiplied by."""
+    sums = left @ hidden[:WIDTH]
+    sums += right @ hidden[WIDTH:]
+    sums += bias
+    h = np.ones((len(sums), HIDDEN + 1), np.float32)
+    np.tanh(sums, out=h[:, :HIDDEN])
+    return h
+
+
+def _logits(h: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """Logits up to a number for each place, so that their powers are in range; ``out`` ends with the bias."""
+    logits = h @ out
+    if (_ONES[: len(out)] @ np.abs(out)).max() > LARGE:  # the hidden layer is between -1 and 1
+        logits -= logits.max(1, keepdims=True)
+    return logits
+
+
 def lay_out(docs: list[np.ndarray]):
     """All tokens, the same with blanks between documents, each token's place there, documents' ends."""
     gap = np.full(SIDE, BLANK, np.int64)
@@ -158,9 +215,27 @@ def lay_out(docs: list[np.ndarray]):
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(word, n) over all documents."""
-    words = F.explode(F.split(ascii_lower(text_of(text_col)), SPACE, -1)).alias("word")
-    return docs.select(words).where("word != ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    """(word, n) over all documents: counted in each batch of texts, then added up by Spark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _cut(batches):
+            found = words_of(part.column(0))[0].value_counts()
+            yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], names=["word", "n"])
+
+    parts = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "word binary, n long")
+    return parts.groupBy(F.col("word").cast("string").alias("word")).agg(F.sum("n").alias("n"))
+
+
+def _cut(batches: Iterator[pa.RecordBatch], text: int = 0) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of whole texts, some ``CUT`` bytes each."""
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy().astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            before = sizes[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(sizes, before + CUT, "right")))
+            yield batch.slice(at, end - at)
+            at = end
 
 
 def most_frequent(counts: DataFrame, most: int) -> list[Row]:
@@ -234,41 +309,99 @@ def untrained(vocabulary: list[bytes], counts: np.ndarray, near: np.ndarray) ->
     )
 
 
-def _step(weights: list[np.ndarray], squares: list[np.ndarray], cluster: np.ndarray, rows: np.ndarray) -> None:
-    """One Adagrad step on runs of neighbouring places, ``SIDE`` more at either end."""
-    embed, hidden, hidden_bias, out, out_bias = weights
-    here = rows[:, SIDE:-SIDE].ravel()
-    real = np.flatnonzero(here != BLANK)
-    e, n = embed[rows], rows.shape[1] - 2 * SIDE
-    left = sum(e[:, k : k + n] for k in range(SIDE))
-    right = sum(e[:, k + SIDE + 1 : k + SIDE + 1 + n] for k in range(SIDE))
-    x = np.concatenate([left, right], 2).reshape(-1, 2 * WIDTH)[real]
-    h = np.tanh(x @ hidden + hidden_bias)
-    p = h @ out + out_bias
-    p -= p.max(1, keepdims=True)
+@dataclass
+class Step:
+    """The runs of a gradient step, one after the other, each with ``SIDE`` more places at either end.
+
+    Nothing is predicted at the ends of runs and at blanks, which ``weigh`` nothing.
+    """
+
+    flat: np.ndarray  # symbols
+    weigh: np.ndarray  # of the places but the outermost
+    goal: np.ndarray  # where the powers of the right clusters are
+    touched: np.ndarray  # the symbols, and a place of each
+    first: np.ndarray
+    many: np.ndarray  # which of them have more places, these places, and where a symbol's begin
+    again: np.ndarray
+    begin: np.ndarray
+
+
+def _steps(runs: np.ndarray, cluster: np.ndarray) -> Iterator[Step]:
+    """Steps of ``RUNS`` runs; the places of many of them are sorted by symbol at once."""
+    whole = len(runs) // RUNS * RUNS
+    upto = lambda found: np.concatenate(([0], np.cumsum(found.sum(1)))).tolist()
+    cuts = [*range(0, whole, RUNS * SORTED), whole, len(runs)]
+    for some in (runs[a:b] for a, b in zip(cuts, cuts[1:]) if b > a):
+        flat = some.reshape(-(-len(some) // RUNS), -1)
+        real = np.zeros(some.shape, bool)
+        real[:, SIDE:-SIDE] = some[:, SIDE:-SIDE] != BLANK
+        real = real.reshape(flat.shape)[:, SIDE:-SIDE]
+        weigh = (real / real.sum(1, keepdims=True)).astype(np.float32)
+        at = np.flatnonzero(real)
+        goal = at % real.shape[1] * CLUSTERS + cluster.take(flat[:, SIDE:-SIDE].ravel().take(at))
+        order = np.argsort(flat.astype(np.int16), axis=1, kind="stable")  # by radix, for 16 bits
+        ranked = flat.ravel().take(order + np.arange(0, flat.size, flat.shape[1])[:, None])
+        edge = np.ones((len(flat), flat.shape[1] + 1), bool)
+        edge[:, 1:-1] = ranked[:, 1:] != ranked[:, :-1]
+        starts = edge[:, :-1]
+        more = ~(starts & edge[:, 1:])
+        heads, places = np.flatnonzero(starts), np.flatnonzero(more)
+        touched, first, again = ranked.ravel().take(heads), order.ravel().take(heads), order.ravel().take(places)
+        many, begin = np.flatnonzero(more.ravel().take(heads)), np.flatnonzero(starts.ravel().take(places))
+        a, b, c, d = upto(real), upto(starts), upto(more), upto(starts & more)
+        for k in range(len(flat)):
+            symbols, places, groups = slice(b[k], b[k + 1]), slice(c[k], c[k + 1]), slice(d[k], d[k + 1])
+            yield Step(
+                flat[k], weigh[k], goal[a[k] : a[k + 1]], touched[symbols], first[symbols],
+                many[groups] - b[k], again[places], begin[groups] - c[k],
+            )
+
+
+def _parts(dense: np.ndarray) -> list[np.ndarray]:
+    """The weights of both layers, which lie one after the other: ``out`` ends with its bias."""
+    a, b = 2 * WIDTH * HIDDEN, (2 * WIDTH + 1) * HIDDEN
+    return [dense[:a].reshape(-1, HIDDEN), dense[a:b], dense[b:].reshape(-1, CLUSTERS)]
+
+
+def _step(weights: list[np.ndarray], dense: list[np.ndarray], square: np.ndarray, slopes: list[np.ndarray], step: Step) -> None:
+    """One Adagrad step. As all runs lie in one row, the neighbours of all places are a shifted view.
+
+    ``weights`` and ``slopes`` are views of the arrays of ``dense``: weights, squares and slopes of both layers.
+    """
+    embed, hidden, hidden_bias, out = weights
+    to_hidden, to_bias, to_out = slopes
+    n = len(step.weigh)
+    sums = _side_sums(embed.take(step.flat, 0))
+    left, right = sums[:n], sums[SIDE + 1 :]
+    h = _hidden(left, right, hidden, hidden_bias)
+    p = _logits(h, out)
     np.exp(p, out=p)
-    p /= p.sum(1, keepdims=True)
-    p[np.arange(len(real)), cluster[here[real]]] -= 1
-    p /= len(real)
-    back = (p @ out.T) * (1 - h**2)
-    wide = np.zeros((len(here), 2 * WIDTH), np.float32)
-    wide[real] = back @ hidden.T
-    wide = wide.reshape(len(rows), n, 2 * WIDTH)
-    each = np.zeros_like(e)
+    p *= (step.weigh / (p @ _ONES[:CLUSTERS]))[:, None]
+    p.reshape(-1)[step.goal] -= np.float32(1 / len(step.goal))
+    back = p @ out[:HIDDEN].T
+    back *= 1 - h[:, :HIDDEN] ** 2
+    wide = np.zeros_like(sums)
+    np.matmul(back, hidden[:WIDTH].T, out=wide[:n])
+    wide[SIDE + 1 :] += back @ hidden[WIDTH:].T
+    each = np.zeros((len(step.flat), WIDTH), np.float32)
     for k in range(SIDE):
-        each[:, k : k + n] += wide[:, :, :WIDTH]
-        each[:, k + SIDE + 1 : k + SIDE + 1 + n] += wide[:, :, WIDTH:]
-    flat = rows.ravel()
-    order = np.argsort(flat, kind="stable")
-    ranked = flat[order]
-    starts = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-    touched = ranked[starts]
-    slope = np.add.reduceat(each.reshape(-1, WIDTH)[order], starts, axis=0)
-    squares[0][touched] += slope**2
-    embed[touched] -= 0.1 * slope / np.sqrt(squares[0][touched])
-    for w, s, g in zip(weights[1:], squares[1:], (x.T @ back, back.sum(0), h.T @ p, p.sum(0))):
-        s += g**2
-        w -= 0.1 * g / np.sqrt(s)
+        each[k : k + len(wide)] += wide
+    slope = each.take(step.first, 0)
+    if len(step.many):
+        slope[step.many] = np.add.reduceat(each.take(step.again, 0), step.begin, axis=0)
+    sizes = square.take(step.touched, 0)
+    sizes += slope * slope
+    square[step.touched] = sizes
+    slope /= np.sqrt(sizes, out=sizes)
+    slope *= 0.1
+    embed[step.touched] -= slope
+    np.matmul(left.T, back, out=to_hidden[:WIDTH])
+    np.matmul(right.T, back, out=to_hidden[WIDTH:])
+    np.matmul(_ONES[:n], back, out=to_bias)
+    np.matmul(h.T, p, out=to_out)
+    whole, squares, every = dense
+    squares += every * every
+    whole -= 0.1 * every / np.sqrt(squares)
 
 
 def learn(model: Model, squares: list[np.ndarray], texts: Iterator[np.ndarray], seed: tuple) -> np.ndarray | None:
@@ -277,7 +410,10 @@ def learn(model: Model, squares: list[np.ndarray], texts: Iterator[np.ndarray],
     An embedding counts by how often its symbol was there, so partitions without it do not blur it.
     """
     random = np.random.default_rng(seed)
-    weights, squares = [w.copy() for w in model.weights()], [s.copy() for s in squares]
+    embed, square = model.embed.copy(), squares[0].copy()
+    dense = [np.concatenate([w.ravel() for w in some]) for some in (model.weights()[1:], squares[1:])]
+    dense.append(np.empty_like(dense[0]))
+    weights, slopes = [embed, *_parts(dense[0])], _parts(dense[2])
     seen, n = np.zeros(SYMBOLS + 1), 0
     for docs in blocks_of(texts, LAID):
         padded = lay_out(docs)[1]
@@ -285,15 +421,17 @@ def learn(model: Model, squares: list[np.ndarray], texts: Iterator[np.ndarray],
         laid = np.full(runs * RUN + 2 * SIDE, BLANK, np.int64)
         laid[: len(padded)] = padded
         rows = np.lib.stride_tricks.sliding_window_view(laid, RUN + 2 * SIDE)[::RUN][random.permutation(runs)]
-        for at in range(0, runs, RUNS):
-            _step(weights, squares, model.cluster, rows[at : at + RUNS])
+        for step in _steps(rows, model.cluster):
+            _step(weights, dense, square, slopes, step)
         seen += np.bincount(padded, minlength=SYMBOLS + 1)
         n += sum(map(len, docs))
     if not n:
         return None
     parts = [[n], seen]
-    for (w, s), by in zip(zip(weights, squares), (seen[:, None], n, n, n, n)):
-        parts += [(w * by).ravel(), (s * by).ravel()]
+    parts += [(embed * seen[:, None]).ravel(), (square * seen[:, None]).ravel()]
+    cuts = np.cumsum([w.size for w in model.weights()[1:]])[:-1]
+    for w, s in zip(*(np.split(d, cuts) for d in dense[:2])):
+        parts += [w * n, s * n]
     return np.concatenate(parts).astype(np.float64)
 
 
@@ -339,13 +477,12 @@ def encoded(docs: DataFrame, vocabulary: list[bytes], text_col: str = "text") ->
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols = Symbols(sent.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                texts = batch.column(0).slice(at, 1024).cast(pa.binary()).to_pylist()
-                words = [(t or b"").lower().split() for t in texts]
-                found = [np.fromiter(map(symbols.__getitem__, w), np.int16, len(w)).tobytes() for w in words]
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["tokens"])
+        vocabulary = pa.array(sent.value, pa.binary())
+        for part in _cut(batches):
+            words, n = words_of(part.column(0))
+            symbols = symbols_of(words, vocabulary)[0].astype(np.int16)
+            found = [t.tobytes() for t in np.split(symbols, np.cumsum(n)[:-1])]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["tokens"])
 
     return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "tokens binary")
 
@@ -389,18 +526,20 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                words = [(t or b"").lower().split() for t in part.column(2).cast(pa.binary()).to_pylist()]
-                texts = [model.encode_words(w) for w in words]
-                n, total = zip(*model.score_encoded(texts))
-                outside = [np.flatnonzero(t >= VOCABULARY) for t in texts]
-                # the words' own counts come in by the join
-                total = [s - float(model.buckets[t[o] - VOCABULARY].sum()) for s, t, o in zip(total, texts, outside)]
-                rare = [[w[i] for i in o.tolist()] for w, o in zip(words, outside)]
-                columns = [part.column(0), part.column(1), list(n), total, rare]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SCHEMA)], schema=_SCHEMA)
+        vocabulary = pa.array(model.vocabulary, pa.binary())
+        for part in _cut(batches, 2):
+            words, n = words_of(part.column(2))
+            symbols, rare = symbols_of(words, vocabulary)
+            ends = np.cumsum(n)
+            total = [s for _, s in model.score_encoded(np.split(symbols, ends[:-1]))]
+            outside = np.flatnonzero(symbols >= VOCABULARY)
+            upto = np.searchsorted(outside, np.concatenate(([0], ends)))
+            # the words' own counts come in by the join
+            buckets = np.concatenate(([0.0], np.cumsum(model.buckets[symbols[outside] - VOCABULARY])))
+            total -= buckets[upto[1:]] - buckets[upto[:-1]]
+            rare = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), rare)
+            columns = [part.column(0), part.column(1), pa.array(n), pa.array(total), rare]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, _SCHEMA)], schema=_SCHEMA)
 
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text")
